@@ -85,7 +85,7 @@ def versions_at(probes: DataFrame, versions: DataFrame, policy: SkewPolicy) -> D
                 none.cast(starts.schema["_version"].dataType).alias("_version"))
     )
     marks = settle(starts.unionByName(asks), "marks")
-    line = Timeline.over(marks, "_entity", ("_when", "_kind"), policy)
+    line = Timeline.over(marks, "_entity", ("_when", "_kind"), policy, marks.count())
     rows = line.carried(line.place(marks), F.col("_version"), "_last")
     hit = (F.col("_kind") == 1) & (F.col("_when") < F.col("_last.end"))
     return line.done(rows).where(hit).select("_entity", "_when", F.col("_last.key").alias(_FOUND))

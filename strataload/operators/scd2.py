@@ -73,8 +73,8 @@ def _rows_in_time(stored: DataFrame, staged: DataFrame, spec: Scd2Spec, loaddate
     return old.unionByName(new)
 
 
-def _timeline(rows: DataFrame, spec: Scd2Spec, policy: SkewPolicy) -> Timeline:
-    return Timeline.over(rows, spec.entity, (FROM, spec.key, _NEW), policy)
+def _timeline(rows: DataFrame, spec: Scd2Spec, policy: SkewPolicy, at_most: int) -> Timeline:
+    return Timeline.over(rows, spec.entity, (FROM, spec.key, _NEW), policy, at_most)
 
 
 def _with_changes(rows: DataFrame, spec: Scd2Spec, line: Timeline, null_mode: str) -> DataFrame:
@@ -102,7 +102,7 @@ def detect_changes(
 ) -> DataFrame:
     """The new versions a load would insert, still without an end."""
     rows = _rows_in_time(affected_rows(dim, staged, spec.entity), staged, spec, loaddate)
-    line = _timeline(rows, spec, policy)
+    line = _timeline(rows, spec, policy, dim.count() + staged.count())
     kept = line.done(_with_changes(line.place(rows), spec, line, null_mode))
     return kept.where(F.col(_NEW) == 1).drop(_NEW, TO)
 
@@ -114,7 +114,7 @@ def close_intervals(
     entities = affected.select(spec.entity).distinct()
     touched = dim.join(entities, spec.entity, "left_semi")
     untouched = dim.join(entities, spec.entity, "left_anti")
-    line = Timeline.over(touched, spec.entity, (FROM, spec.key), policy)
+    line = Timeline.over(touched, spec.entity, (FROM, spec.key), policy, dim.count())
     rows = line.following(line.place(touched), [FROM], _AFTER)
     closed = rows.withColumn(TO, F.coalesce(F.col(f"{_AFTER}.{FROM}"), open_end())).drop(_AFTER)
     return line.done(closed).select(*dim.columns).unionByName(untouched.select(*dim.columns))
@@ -135,8 +135,8 @@ def load_scd2(
     and the rest of the dimension passes through without a shuffle. A larger batch
     merges with the whole dimension in a single shuffle instead.
     """
-    batch = profile(staged, spec.entity)
-    if batch.keys <= policy.broadcast_keys:
+    arrived = staged.count()
+    if arrived <= policy.broadcast_keys or profile(staged, spec.entity).keys <= policy.broadcast_keys:
         entities = F.broadcast(staged.select(spec.entity).distinct())
         touched = dim.join(entities, spec.entity, "left_semi")
         untouched = dim.join(entities, spec.entity, "left_anti")
@@ -145,7 +145,7 @@ def load_scd2(
         untouched = dim.where(F.col(spec.entity).isNull())
 
     rows = _rows_in_time(touched, staged, spec, loaddate)
-    line = _timeline(rows, spec, policy)
+    line = _timeline(rows, spec, policy, dim.count() + arrived)
     rows = _with_changes(line.place(rows), spec, line, null_mode)
     rows = line.following(rows, [FROM], _AFTER)
     rows = line.anywhere(rows, F.col(_NEW) == 1, _AFFECTED)

@@ -27,9 +27,20 @@ class Timeline:
 
     @classmethod
     def over(
-        cls, rows: DataFrame, entity: str, order: tuple[str, ...], policy: SkewPolicy = SkewPolicy()
+        cls,
+        rows: DataFrame,
+        entity: str,
+        order: tuple[str, ...],
+        policy: SkewPolicy = SkewPolicy(),
+        at_most: int | None = None,
     ) -> Timeline:
-        """Measure ``rows`` (only the entity column is read) and cut hot entities, if any."""
+        """Measure ``rows`` (only the entity column is read) and cut hot entities, if any.
+
+        ``at_most`` is a known bound on the number of rows; below the size of one
+        group nothing can be hot and nothing is measured.
+        """
+        if at_most is not None and at_most <= policy.rows_per_group:
+            return cls(entity, order)
         found = profile(rows, entity)
         return cls(entity, order, cut_points(rows, entity, order[0], found, policy))
 

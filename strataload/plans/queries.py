@@ -206,7 +206,7 @@ QUERIES["stage_driver"] = lambda spark, sf_dir: shown(stage_driver(staging(spark
 @query
 def lead_valid_to(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
-    line = Timeline.over(events, "user_id", ("ts", "event_id"))
+    line = Timeline.over(events, "user_id", ("ts", "event_id"), at_most=events.count())
     rows = line.following(line.place(events), ["ts"], "after")
     return shown(rows.select("event_id", F.coalesce("after.ts", open_end()).alias("valid_todate")), _MICROS)
 
@@ -214,7 +214,7 @@ def lead_valid_to(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def lag_change_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     staged = settle(staged_vehicles(spark, sf_dir))
-    line = Timeline.over(staged, VEHICLE.entity, (VEHICLE.change, VEHICLE.key))
+    line = Timeline.over(staged, VEHICLE.entity, (VEHICLE.change, VEHICLE.key), at_most=staged.count())
     rows = line.previous(line.place(staged), list(VEHICLE.tracked), "before")
     return rows.select(
         VEHICLE.key,
