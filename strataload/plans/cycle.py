@@ -17,6 +17,7 @@ from strataload.operators.scd2 import load_scd2
 from strataload.operators.skew import SkewPolicy
 from strataload.operators.staging import stage_driver, stage_vehicle
 from strataload.operators.upsert import upsert_by_key
+from strataload.plans.parallel import side_by_side
 from strataload.schemas import DRIVER, STG_PT, TABLES, UNKNOWN_MEMBERS, VEHICLE, empty, unknown_member
 from strataload.sources import seeds
 from strataload.sources.scratch import fresh_path, settle
@@ -55,16 +56,18 @@ def clear_warehouse(
 ) -> None:
     """Rebuild every table empty, with unknown members if wanted, and load the seeds."""
     spark = store.spark
+    starting = {
+        "orchestration_log": empty(spark, TABLES["orchestration_log"]),
+        "dbt_log": empty(spark, TABLES["dbt_log"]),
+        "dim_transaction": transaction_types or seeds.transaction_types(spark),
+        "orchestration_history": history or seeds.orchestration_history(spark),
+        SEQUENCES: spark.createDataFrame([("dim_limit", 0)], "name string, high_water long"),
+    }
     for name in DIMS:
-        rows = unknown_member(spark, name, ctx.loaddate) if load_defaults else empty(spark, TABLES[name])
-        store.write(name, rows)
-    for name in ("orchestration_log", "dbt_log"):
-        store.write(name, empty(spark, TABLES[name]))
-    store.write(SEQUENCES, spark.createDataFrame([("dim_limit", 0)], "name string, high_water long"))
+        starting[name] = unknown_member(spark, name, ctx.loaddate) if load_defaults else empty(spark, TABLES[name])
     for name in (FACT, AGG):
         store.clear(name)
-    store.write("dim_transaction", transaction_types or seeds.transaction_types(spark))
-    store.write("orchestration_history", history or seeds.orchestration_history(spark))
+    side_by_side(lambda name: store.write_small(name, starting[name]), starting)
 
 
 def next_range(store: Store) -> LoadRange | None:
@@ -74,11 +77,12 @@ def next_range(store: Store) -> LoadRange | None:
     return None if cutoff is None else LoadRange(latest, cutoff)
 
 
-def _logged(store: Store, ctx: LoadContext, operation: str, work: Callable[[], object]) -> None:
-    """Run one step between its start and end rows in the operation log."""
-    store.write("dbt_log", control.oplog_open(store.read("dbt_log"), operation, ctx.loaddate))
-    work()
-    store.write("dbt_log", control.oplog_close(store.read("dbt_log"), operation, ctx.endloaddate))
+def _logged(store: Store, ctx: LoadContext, operations: tuple[str, ...], work: Callable[[str], object]) -> None:
+    """Run operations side by side, between their start and end rows in the operation log."""
+    names = list(operations)
+    store.write_small("dbt_log", control.oplog_open(store.read("dbt_log"), names, ctx.loaddate))
+    side_by_side(work, names)
+    store.write_small("dbt_log", control.oplog_close(store.read("dbt_log"), names, ctx.endloaddate))
 
 
 def load_dimension(
@@ -107,7 +111,7 @@ def load_dimension(
     if name == "dim_limit":
         used = F.greatest("high_water", highest_id(written, "limit_id"))
         mark = F.when(F.col("name") == name, used).otherwise(F.col("high_water"))
-        store.write(SEQUENCES, store.read(SEQUENCES).withColumn("high_water", mark))
+        store.write_small(SEQUENCES, store.read(SEQUENCES).withColumn("high_water", mark))
     return written
 
 
@@ -135,7 +139,7 @@ def run_load_cycle(
         return LoadResult()
     result = LoadResult(load)
     log = control.orchestration_open(store.read("orchestration_log"), ctx.loaddate, load.high)
-    store.write("orchestration_log", log)
+    store.write_small("orchestration_log", log)
 
     stg = source
     if "extract" in stages:
@@ -144,18 +148,17 @@ def run_load_cycle(
         load_staged(store.spark, exported, STG_PT, staged)
         stg = store.spark.read.schema(STG_PT).parquet(staged)
     if "dims" in stages:
-        for name in DIMS:
-            _logged(store, ctx, name, lambda name=name: load_dimension(store, name, stg, load, ctx, policy))
+        _logged(store, ctx, DIMS, lambda name: load_dimension(store, name, stg, load, ctx, policy))
     if "facts" in stages:
         current = {name: store.read(name) for name in (*DIMS, "dim_transaction")}
         fact = build_fact(stg, current, load, ctx.loaddate, policy)
-        _logged(store, ctx, FACT, lambda: store.replace_range(FACT, fact, load))
+        _logged(store, ctx, (FACT,), lambda name: store.replace_range(name, fact, load))
     if "aggregates" in stages:
         month = aggregates.latest_month(store.read_partitioned(FACT), ctx.loaddate)
-        _logged(store, ctx, AGG, lambda: store.replace_partitions(AGG, month, "month_id"))
+        _logged(store, ctx, (AGG,), lambda name: store.replace_partitions(name, month, "month_id"))
 
     log = control.orchestration_close(store.read("orchestration_log"), ctx.loaddate, ctx.endloaddate)
-    store.write("orchestration_log", log)
+    store.write_small("orchestration_log", log)
     stored = tables(store)
     loaded = {name: stored[name] for name in (*DIMS, FACT)}
     result.summary = control.daily_load_summary(loaded, ctx.loaddate)

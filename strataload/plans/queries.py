@@ -27,6 +27,7 @@ from strataload.operators.staging import stage_driver, stage_vehicle
 from strataload.operators.timeline import Timeline
 from strataload.operators.upsert import sync_all_columns, upsert_by_key
 from strataload.plans.cycle import LoadContext, clear_warehouse, run_load_cycle
+from strataload.plans.parallel import side_by_side
 from strataload.schemas import (
     BLANK, DRIVER, MONEY, ORCHESTRATION_HISTORY, STAMP, STG_PT, TABLES, UNKNOWN_ID, UNKNOWN_KEY,
     UNKNOWN_MEMBERS, VEHICLE, Scd2Spec, empty, stamp, unknown_member,
@@ -128,14 +129,18 @@ class State:
             after = before.unionByName(dims.dim_deductible(before, stg, load, at))
         return settle(after, name)
 
+    @cache
+    def all_dims(self, batch: int) -> dict[str, DataFrame]:
+        """All dimensions, loaded side by side from one staging table."""
+        self.share_stg = True
+        self.stored_stg()
+        return side_by_side(lambda name: self.dim(name, batch), UNKNOWN_MEMBERS)
+
     @cache
     def fact(self, batch: int) -> DataFrame:
         """Fact rows of one batch, looked up in the dimensions as that load left them."""
-        self.share_stg = True
         load, at = ((BATCH_1, L1), (BATCH_2, L2))[batch - 1]
-        names = list(UNKNOWN_MEMBERS)
-        found = {name: self.dim(name, batch) for name in names}
-        found["dim_transaction"] = seeds.transaction_types(self.spark)
+        found = {**self.all_dims(batch), "dim_transaction": seeds.transaction_types(self.spark)}
         return settle(build_fact(self.stored_stg(), found, load, at), "fact")
 
     @cache
@@ -502,10 +507,10 @@ def orchestration_close(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["oplog_open"] = lambda spark, sf_dir: shown(
-    control.oplog_open(operation_log(spark, sf_dir), "load_scd2: dim_vehicle", OP_TIME)
+    control.oplog_open(operation_log(spark, sf_dir), ["load_scd2: dim_vehicle"], OP_TIME)
 )
 QUERIES["oplog_close"] = lambda spark, sf_dir: shown(
-    control.oplog_close(operation_log(spark, sf_dir), "click", OP_TIME)
+    control.oplog_close(operation_log(spark, sf_dir), ["click"], OP_TIME)
 )
 
 
@@ -513,7 +518,7 @@ QUERIES["oplog_close"] = lambda spark, sf_dir: shown(
 def daily_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = State(spark, sf_dir)
     facts = state.facts()
-    tables = {name: state.dim(name, 2) for name in sorted(UNKNOWN_MEMBERS)}
+    tables = dict(sorted(state.all_dims(2).items()))
     return shown(control.daily_load_summary({**tables, "fact_policytransaction": facts}, L2))
 
 
