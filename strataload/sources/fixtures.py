@@ -86,7 +86,7 @@ def staging(spark: SparkSession, sf_dir: str, columns: list[str] | None = None)
     Every line has its order and its part, so leaving out a join loses no rows.
     """
     wanted = columns or STG_PT.names
-    rows = table(spark, sf_dir, "lineitem")
+    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     if _NEED_ORDER & set(wanted):
         rows = rows.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     if _NEED_PART & set(wanted):
@@ -95,6 +95,16 @@ def staging(spark: SparkSession, sf_dir: str, columns: list[str] | None = None)
     return rows.select(*[made[c].alias(c) for c in wanted])
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a table with fewer splits than cores to all cores.
+
+    One small file is read by one task, whatever follows. A table of a cluster's
+    size has far more splits than cores and is returned as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, key) if rows._jdf.rdd().getNumPartitions() < cores else rows
+
+
 VEHICLE_INPUTS = [
     "transactiondate", "policy_uniqueid", "riskcd1", "veh_effectivedate",
     "vin", "model", "modelyr", "manufacturer", "estimatedannualdistance",
