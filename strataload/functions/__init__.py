@@ -1,10 +1,10 @@
 """Column functions: keys, dates and load-range predicates."""
 
-from strataload.functions.dates import iso_date, month_of, whole_number, yyyymmdd
+from strataload.functions.dates import iso_date, micros_text, month_of, seconds_text, whole_number, yyyymmdd
 from strataload.functions.keys import entity_id, surrogate_key, version_key
 from strataload.functions.ranges import LoadRange, latest_load, on_load
 
 __all__ = [
-    "LoadRange", "entity_id", "iso_date", "latest_load", "month_of", "on_load",
-    "surrogate_key", "version_key", "whole_number", "yyyymmdd",
+    "LoadRange", "entity_id", "iso_date", "latest_load", "micros_text", "month_of", "on_load",
+    "seconds_text", "surrogate_key", "version_key", "whole_number", "yyyymmdd",
 ]

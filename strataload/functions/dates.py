@@ -1,4 +1,4 @@
-"""Dates kept as yyyymmdd integers, and the text form of a birth date."""
+"""Dates kept as yyyymmdd integers, and the text forms of dates and times."""
 
 from __future__ import annotations
 
@@ -19,7 +19,21 @@ def yyyymmdd(when: Column) -> Column:
 
 def iso_date(when: Column) -> Column:
     """Date as yyyy-MM-dd text, so that every tracked column is text."""
-    return F.date_format(when, "yyyy-MM-dd")
+    return F.substring(when.cast("string"), 1, 10)
+
+
+def seconds_text(when: Column) -> Column:
+    """Zone-free timestamp as yyyy-MM-dd HH:mm:ss (H9).
+
+    Cast and cut, because date_format would read it in the session's time zone.
+    """
+    return F.substring(when.cast("string"), 1, 19)
+
+
+def micros_text(when: Column) -> Column:
+    """Zone-free timestamp with all six digits of its fraction."""
+    fraction = F.rpad(F.substring(when.cast("string"), 21, 6), 6, "0")
+    return F.concat(seconds_text(when), F.lit("."), fraction)
 
 
 def whole_number(value: Column) -> Column:

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from strataload.functions.dates import seconds_text
 from strataload.schemas import NULL_TOKEN
 
-_SECONDS = "yyyy-MM-dd HH:mm:ss"
-
 
 def entity_id(*parts: Column | str) -> Column:
     """Parts joined by an underscore; NULL as soon as one part is NULL."""
@@ -21,8 +20,8 @@ def entity_id(*parts: Column | str) -> Column:
 
 def version_key(entity: Column, change: Column) -> Column:
     """Hash of an entity and its change time in whole seconds; NULLs hash as empty text (H4, H9)."""
-    when = F.date_format(change, _SECONDS)
-    return F.md5(F.concat(F.coalesce(entity, F.lit("")), F.lit("|"), F.coalesce(when, F.lit(""))))
+    when = F.coalesce(seconds_text(change), F.lit(""))
+    return F.md5(F.concat(F.coalesce(entity, F.lit("")), F.lit("|"), when))
 
 
 def surrogate_key(*columns: Column | str) -> Column:

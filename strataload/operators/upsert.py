@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 def upsert_by_key(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Batch rows replace target rows of the same key, all others stay.
 
-    The batch must hold a key once. Only the batch's key columns enter the join,
-    so a small batch is broadcast at run time and the target is not shuffled.
+    The batch must hold a key once. It is read twice, so it should be a stored
+    table: then its size is known before the join, and a small batch is broadcast
+    instead of shuffling the target.
     """
     kept = target.join(batch.select(*keys), keys, "left_anti")
     return kept.select(*target.columns).unionByName(batch.select(*target.columns))

@@ -20,7 +20,7 @@ from strataload.operators.upsert import upsert_by_key
 from strataload.plans.parallel import side_by_side
 from strataload.schemas import DRIVER, STG_PT, TABLES, UNKNOWN_MEMBERS, VEHICLE, empty, unknown_member
 from strataload.sources import seeds
-from strataload.sources.scratch import fresh_path, settle
+from strataload.sources.scratch import fresh_path, remove, settle
 from strataload.sources.staged_csv import export_range, load_staged
 from strataload.sources.store import Store
 
@@ -92,9 +92,9 @@ def load_dimension(
     stored = store.read(name)
     at = ctx.loaddate
     if name == "dim_policy":
-        after = upsert_by_key(stored, dims.dim_policy(stg, load, at), ["policy_id"])
+        after = upsert_by_key(stored, settle(dims.dim_policy(stg, load, at), name), ["policy_id"])
     elif name == "dim_coverage":
-        after = upsert_by_key(stored, dims.dim_coverage(stg, load, at), ["coverage_id"])
+        after = upsert_by_key(stored, settle(dims.dim_coverage(stg, load, at), name), ["coverage_id"])
     elif name == "dim_deductible":
         after = stored.unionByName(dims.dim_deductible(stored, stg, load, at))
     elif name == "dim_limit":
@@ -143,7 +143,7 @@ def run_load_cycle(
 
     stg = source
     if "extract" in stages:
-        staged, exported = fresh_path(store.spark, "stg_pt"), fresh_path(store.spark, "export")
+        staged, exported = (fresh_path(store.spark, name) for name in ("stg_pt", "export"))
         export_range(source, load, exported)
         load_staged(store.spark, exported, STG_PT, staged)
         stg = store.spark.read.schema(STG_PT).parquet(staged)
@@ -165,4 +165,7 @@ def run_load_cycle(
     if "tests" in stages:
         result.failed_checks = checks.failures(stored)
         result.reconciled = checks.reconcile(stg, stored[FACT], load, ctx.loaddate).isEmpty()
+    if "extract" in stages:
+        for path in (exported, staged):
+            remove(store.spark, path)
     return result

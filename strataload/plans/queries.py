@@ -10,11 +10,13 @@ from collections.abc import Callable
 from datetime import datetime
 from functools import cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strataload.functions import LoadRange, entity_id, latest_load, month_of, surrogate_key, yyyymmdd
+from strataload.functions import (
+    LoadRange, entity_id, iso_date, latest_load, micros_text, month_of, seconds_text, surrogate_key, yyyymmdd,
+)
 from strataload.operators import aggregates, checks, control, dims
 from strataload.operators.facts import FACT_INPUTS, build_fact
 from strataload.operators.ids import allocate_ids, highest_id
@@ -44,7 +46,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 L0, L1, L2 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
 OP_TIME = datetime(2024, 6, 1, 12)
-_SECONDS, _MICROS = "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _COVERAGE = ["coveragecd", "subline", "asl"]
 EVENT = Scd2Spec(key="event_key", entity="user_key", change="at", tracked=("event_type",))
 
@@ -56,15 +57,15 @@ def query(function: Query) -> Query:
     return function
 
 
-def shown(df: DataFrame, seconds: str = _SECONDS) -> DataFrame:
+def shown(df: DataFrame, times: Callable[[Column], Column] = seconds_text) -> DataFrame:
     """Times as text, money as double."""
     columns = []
     for field in df.schema:
         column = F.col(field.name)
         if isinstance(field.dataType, (T.TimestampNTZType, T.TimestampType)):
-            column = F.date_format(column, seconds)
+            column = times(column)
         elif isinstance(field.dataType, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
+            column = iso_date(column)
         elif isinstance(field.dataType, T.DecimalType):
             column = column.cast("double")
         columns.append(column.alias(field.name))
@@ -117,9 +118,10 @@ class State:
         elif name == "dim_driver":
             after = load_scd2(before, self.staged_driver(load), DRIVER, at, self.null_mode)
         elif name == "dim_policy":
-            after = upsert_by_key(before, dims.dim_policy(self._inputs(POLICY_INPUTS), load, at), ["policy_id"])
+            rows = settle(dims.dim_policy(self._inputs(POLICY_INPUTS), load, at), "policies")
+            after = upsert_by_key(before, rows, ["policy_id"])
         elif name == "dim_coverage":
-            rows = dims.dim_coverage(self._inputs(["transactiondate", *_COVERAGE]), load, at)
+            rows = settle(dims.dim_coverage(self._inputs(["transactiondate", *_COVERAGE]), load, at), "coverages")
             after = upsert_by_key(before, rows, ["coverage_id"])
         elif name == "dim_limit":
             stg = self._inputs(["transactiondate", "limit1", "limit2"])
@@ -213,7 +215,7 @@ def lead_valid_to(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
     line = Timeline.over(events, "user_id", ("ts", "event_id"), at_most=events.count())
     rows = line.following(line.place(events), ["ts"], "after")
-    return shown(rows.select("event_id", F.coalesce("after.ts", open_end()).alias("valid_todate")), _MICROS)
+    return shown(rows.select("event_id", F.coalesce("after.ts", open_end()).alias("valid_todate")), micros_text)
 
 
 @query
@@ -309,8 +311,7 @@ def scd2_backdated(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
     first = settle(load_scd2(empty(spark, layout), events.where(F.col("at") >= middle), EVENT, L1))
     rows = load_scd2(first, events.where(F.col("at") < middle), EVENT, L2)
-    loaded = F.date_format("loaddate", _SECONDS)
-    return shown(rows.withColumn("loaddate", loaded), _MICROS)
+    return shown(rows.withColumn("loaddate", seconds_text(F.col("loaddate"))), micros_text)
 
 
 # --- dimensions -------------------------------------------------------------
@@ -347,7 +348,7 @@ def unknown_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def member(name: str) -> DataFrame:
         row = unknown_member(spark, name, L0)
-        parts = [F.date_format(c, _SECONDS) if isinstance(row.schema[c].dataType, T.TimestampNTZType)
+        parts = [seconds_text(F.col(c)) if isinstance(row.schema[c].dataType, T.TimestampNTZType)
                  else F.col(c).cast("string") for c in row.columns if c != "loaddate"]
         return row.select(F.lit(name).alias("dim"), F.concat_ws("|", *parts).alias("member"))
 
@@ -467,7 +468,7 @@ QUERIES["sync_all_columns"] = QUERIES.pop("sync_customer_columns")
 def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One load per shipping month, those since October 2001 still open."""
     shipped = F.max("l_shipdate")
-    months = table(spark, sf_dir, "lineitem").groupBy(F.date_trunc("month", "l_shipdate")).agg(shipped.alias("last"))
+    months = table(spark, sf_dir, "lineitem").groupBy(month_of(yyyymmdd(F.col("l_shipdate")))).agg(shipped.alias("last"))
     after = F.col("last") + F.expr("INTERVAL 24 HOURS")
     is_closed = F.col("last") < F.lit("2001-10-01").cast(STAMP)
     return months.select(
@@ -479,7 +480,7 @@ def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def operation_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One operation per event, those of small value still open."""
-    started = F.date_trunc("second", "ts").cast(STAMP)
+    started = seconds_text(F.col("ts")).cast(STAMP)
     ended = F.when(F.col("value") >= 5, started + F.expr("INTERVAL 1 MINUTE"))
     return table(spark, sf_dir, "events").select(
         started.alias("startdate"), F.col("event_type").alias("operation"), ended.cast(STAMP).alias("enddate")
