@@ -2,9 +2,9 @@
 
 from strataload.functions.dates import iso_date, micros_text, month_of, seconds_text, whole_number, yyyymmdd
 from strataload.functions.keys import entity_id, surrogate_key, version_key
-from strataload.functions.ranges import LoadRange, latest_load, on_load
+from strataload.functions.ranges import LATEST_LOAD, LoadRange, latest_load, on_load, where_scope
 
 __all__ = [
-    "LoadRange", "entity_id", "iso_date", "latest_load", "micros_text", "month_of", "on_load",
-    "seconds_text", "surrogate_key", "version_key", "whole_number", "yyyymmdd",
+    "LATEST_LOAD", "LoadRange", "entity_id", "iso_date", "latest_load", "micros_text", "month_of", "on_load",
+    "seconds_text", "surrogate_key", "version_key", "where_scope", "whole_number", "yyyymmdd",
 ]

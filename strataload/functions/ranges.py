@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from strataload.schemas import START_DATE, stamp
 
+LATEST_LOAD = "__latest_load__"
+
 
 @dataclass(frozen=True)
 class LoadRange:
@@ -40,7 +42,17 @@ def on_load(loaddate: datetime) -> Column:
     return F.col("loaddate") == stamp(loaddate)
 
 
-def latest_load(table: DataFrame) -> DataFrame:
-    """Rows of the newest load in a table (B4): a scalar subquery, not a join."""
+def where_scope(table: DataFrame, where: str) -> DataFrame:
+    """Rows that meet an SQL condition, in which ``__latest_load__`` is the newest stamp of the table.
+
+    The newest stamp is a scalar subquery, not a join.
+    """
+    if LATEST_LOAD not in where:
+        return table.where(where)
     newest = table.agg(F.max("loaddate")).scalar()
-    return table.where(F.col("loaddate") == newest)
+    return table.withColumn(LATEST_LOAD, newest).where(where).drop(LATEST_LOAD)
+
+
+def latest_load(table: DataFrame) -> DataFrame:
+    """Rows of the newest load in a table."""
+    return where_scope(table, f"loaddate = {LATEST_LOAD}")

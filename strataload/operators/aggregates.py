@@ -18,9 +18,8 @@ def latest_month(fact: DataFrame, loaddate: datetime) -> DataFrame:
     late rows of older months do not change the aggregate.
     """
     newest = fact.agg(F.max("accountingdate")).scalar()
-    # A range of dates rather than an equal month, so the predicate reaches the scan.
-    first_day = month_of(newest) * 100
-    in_month = (F.col("accountingdate") >= first_day) & (F.col("accountingdate") < first_day + 100)
+    # No date is newer, so a lower bound is enough, and unlike a month it reaches the scan.
+    in_month = F.col("accountingdate") >= month_of(newest) * 100
     rows = (
         fact.where(in_month)
         .groupBy(month_of("accountingdate").alias("month_id"), "policy_id")

@@ -67,7 +67,7 @@ def clear_warehouse(
         starting[name] = unknown_member(spark, name, ctx.loaddate) if load_defaults else empty(spark, TABLES[name])
     for name in (FACT, AGG):
         store.clear(name)
-    side_by_side(lambda name: store.write_small(name, starting[name]), starting)
+    side_by_side(spark, lambda name: store.write_small(name, starting[name]), starting)
 
 
 def next_range(store: Store) -> LoadRange | None:
@@ -81,7 +81,7 @@ def _logged(store: Store, ctx: LoadContext, operations: tuple[str, ...], work: C
     """Run operations side by side, between their start and end rows in the operation log."""
     names = list(operations)
     store.write_small("dbt_log", control.oplog_open(store.read("dbt_log"), names, ctx.loaddate))
-    side_by_side(work, names)
+    side_by_side(store.spark, work, names)
     store.write_small("dbt_log", control.oplog_close(store.read("dbt_log"), names, ctx.endloaddate))
 
 
@@ -121,6 +121,21 @@ def tables(store: Store) -> dict[str, DataFrame]:
     return {**found, FACT: store.read_partitioned(FACT), AGG: store.read_partitioned(AGG)}
 
 
+def register_views(store: Store, stg: DataFrame | None = None, load: LoadRange | None = None) -> None:
+    """Make the tables, the report and, for a given range, the staging views known to SQL.
+
+    The range is fixed when the views are made; make them again for the next load.
+    """
+    found = tables(store)
+    for name, table in found.items():
+        table.createOrReplaceTempView(name)
+    report = aggregates.report_by_state(found[AGG], found["dim_policy"])
+    report.createOrReplaceTempView("dummy_view_for_reporting")
+    if stg is not None and load is not None:
+        stage_vehicle(stg, load).createOrReplaceTempView("stg_vehicle")
+        stage_driver(stg, load).createOrReplaceTempView("stg_driver")
+
+
 def run_load_cycle(
     store: Store,
     source: DataFrame,

@@ -7,11 +7,12 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 Result = TypeVar("Result")
 
 
-def side_by_side(step: Callable[[str], Result], names: Iterable[str]) -> dict[str, Result]:
+def side_by_side(spark: SparkSession, step: Callable[[str], Result], names: Iterable[str]) -> dict[str, Result]:
     """Call ``step`` for every name from a driver thread of its own.
 
     The threads only submit Spark jobs; the cluster works on all of them, so a small
@@ -20,5 +21,6 @@ def side_by_side(step: Callable[[str], Result], names: Iterable[str]) -> dict[st
     """
     names = list(names)
     with ThreadPoolExecutor(max_workers=len(names)) as pool:
-        started = {name: pool.submit(inheritable_thread_target(step), name) for name in names}
+        run = inheritable_thread_target(spark)(step)
+        started = {name: pool.submit(run, name) for name in names}
     return {name: future.result() for name, future in started.items()}

@@ -136,7 +136,7 @@ class State:
         """All dimensions, loaded side by side from one staging table."""
         self.share_stg = True
         self.stored_stg()
-        return side_by_side(lambda name: self.dim(name, batch), UNKNOWN_MEMBERS)
+        return side_by_side(self.spark, lambda name: self.dim(name, batch), UNKNOWN_MEMBERS)
 
     @cache
     def fact(self, batch: int) -> DataFrame:
@@ -550,7 +550,7 @@ def test_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 def test_scoped_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     stg = staging(spark, sf_dir, ["transactiondate", "limit1", "limit2", "amount"])
     stamped = stg.withColumn("loaddate", F.when(BATCH_1.contains(), stamp(L1)).otherwise(stamp(L2)))
-    check = checks.Check("stg", "not_null", ("limit1",), scoped=True)
+    check = checks.Check("stg", "not_null", ("limit1",), where=checks.NEWEST)
     return shown(check.violations({"stg": stamped}).drop("limit1", "loaddate"))
 
 

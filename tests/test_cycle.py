@@ -10,7 +10,7 @@ import pytest
 from strataload.functions import LoadRange
 from strataload.operators import checks
 from strataload.plans.cycle import (
-    FACT, SEQUENCES, LoadContext, clear_warehouse, next_range, run_load_cycle, tables,
+    FACT, SEQUENCES, LoadContext, clear_warehouse, next_range, register_views, run_load_cycle, tables,
 )
 from strataload.schemas import ORCHESTRATION_HISTORY, STG_PT
 from strataload.sources.store import Store
@@ -109,6 +109,17 @@ def test_aggregate_holds_the_latest_month(loaded):
     assert rows == [(202001, 1, 37, T2), (202001, 2, 5, T2)]
 
 
+def test_tables_and_views_are_open_to_sql(loaded, spark):
+    store, source, _, second = loaded
+    register_views(store, source, second.load)
+    assert [tuple(r) for r in spark.sql("SELECT * FROM dummy_view_for_reporting").collect()] == [
+        (202001, "CA", Decimal(42))
+    ]
+    assert [r.vin for r in spark.sql("SELECT vin FROM stg_vehicle").collect()] == ["C"]
+    joined = spark.sql("SELECT v.vin FROM fact_policytransaction f JOIN dim_vehicle v USING (vehicle_id) WHERE f.amount = 7")
+    assert [r.vin for r in joined.collect()] == ["C"]
+
+
 def test_stages_can_be_left_out_and_an_open_load_is_retried(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     source = spark.createDataFrame(ROWS, STG_PT)
