@@ -9,15 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``.
+    """The folder all executors share: the one the program has set, else ``spark.checkpoint.dir``.
 
-    Only where neither that setting nor a checkpoint folder exists, as in
-    single-machine tests, is a temporary folder made.
+    Only a session that runs on one machine, and names neither, gets a temporary
+    folder; on a cluster such a folder would be another one on every machine, so
+    there a missing setting is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="strataload-")
-        spark.sparkContext.setCheckpointDir(named)
+        context.setCheckpointDir(named)
     return named
 
 

@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import compare, connect
+from strataload.plans import oracle
+from strataload.plans.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = contract.oracle_sql()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +19,12 @@ def duck():
 
 
 def test_every_query_has_a_twin():
-    assert SQL.keys() == contract.queries().keys()
+    assert SQL.keys() == QUERIES.keys()
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, duck, name):
-    assert compare(spark, duck, SF_DIR, contract.queries()[name], SQL[name]) is None
+    assert compare(spark, duck, SF_DIR, QUERIES[name], SQL[name]) is None
 
 
 def test_entry_has_rows(spark):
