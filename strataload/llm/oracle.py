@@ -70,6 +70,22 @@ FROM walk WHERE x < n
 """
 
 
+NEAR = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [words]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3), lambda i: words[i : i + 4])) END AS shingles FROM w
+),
+e AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, len(shingles) AS n_shingles, min(b) AS component_id, doc_id = min(b) AS kept
+FROM s JOIN reach r ON r.a = s.doc_id GROUP BY doc_id, shingles
+"""
+
 LINES = """
 WITH l AS (
   SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -88,4 +104,4 @@ FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": TOPK, "op6_line_dedup": LINES, "op8_exact_dedup": EXACT, "op10_sharding": sharded()}
+    return {"op1_topk": TOPK, "op4_near_dedup": NEAR, "op6_line_dedup": LINES, "op8_exact_dedup": EXACT, "op10_sharding": sharded()}

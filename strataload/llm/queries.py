@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataload.llm import bpe, exactdup, linedup, packing, quality, secrets, sharding, substring, topk
+from strataload.llm import bpe, exactdup, linedup, neardup, packing, quality, secrets, sharding, substring, topk
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -70,7 +74,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_topk, op2_packing, op3_quality, op5_bpe, op6_line_dedup, op7_substring_dedup, op8_exact_dedup, op9_secrets, op10_sharding)
+    for f in (op1_topk, op2_packing, op3_quality, op4_near_dedup, op5_bpe, op6_line_dedup, op7_substring_dedup, op8_exact_dedup, op9_secrets, op10_sharding)
 }
 
 
