@@ -3,9 +3,10 @@
 A document is its set of distinct word shingles; documents with equal sets form a class
 first. Each class has 64 minwise values. In each of several independent trees, a node's
 classes branch by the values at two of the 64 places; classes that agree on a value meet
-in the same child. A node of at most ``node_size`` classes compares all pairs. A larger
-one compares all with its smallest class and branches on, unless all of its classes are
-already connected: a large group of near copies is so joined in work linear in its size.
+in the same child. A node with few pairs of classes that are not yet connected
+compares all of these. Another one compares all with a few of its classes and branches on,
+unless all its classes are connected by then: a large group of near copies is so joined
+in work linear in its size.
 Two sets of similarity J part in a branch with a chance of (1 - J)**2 and in all of six
 trees with about its sixth power, below one in a million for J >= 0.75 at any usual depth.
 
@@ -146,8 +147,8 @@ def confirmer(width: int, percent: int):
 class Join:
     """The state of one similarity join: classes, their texts, and the labels found so far."""
 
-    def __init__(self, docs: DataFrame, rows: DataFrame, width: int, percent: int, trees: int, node_size: int, levels: int):
-        self.docs, self.percent, self.trees, self.node_size, self.levels = docs, percent, trees, node_size, levels
+    def __init__(self, docs: DataFrame, rows: DataFrame, width: int, percent: int, trees: int, node_size: int, pivots: int, levels: int):
+        self.docs, self.percent, self.trees, self.node_size, self.pivots, self.levels = docs, percent, trees, node_size, pivots, levels
         self.confirmed = confirmer(width, percent)
         # 64 matches at percent/100 of them, less six standard deviations.
         share = percent / 100
@@ -178,10 +179,17 @@ class Join:
         return rows.join(labels, "id", "left").withColumn("label", F.coalesce("root", "id")).drop("root")
 
     def meeting(self, rows: DataFrame) -> DataFrame:
-        """Rows of the nodes that hold classes not yet connected, with the node's size and smallest class."""
-        nodes = rows.groupBy("node").agg(
-            F.count("*").alias("size"), F.min(F.struct("id", "label")).alias("pivot"), F.min("label").alias("lo"), F.max("label").alias("hi")
-        ).filter("lo <> hi").drop("lo", "hi")
+        """Rows of the nodes that hold classes not yet connected, with what is known of the node.
+
+        main: its most frequent label. small: it holds few pairs of different labels for
+        its size, as many as ``node_size`` classes that are all apart.
+        """
+        parts = rows.groupBy("node", "label").agg(F.count("*").cast("double").alias("n"))
+        size, pairs = F.sum("n"), (F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2
+        nodes = parts.groupBy("node").agg(
+            (pairs <= self.node_size / 2 * size).alias("small"),
+            F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels"),
+        ).filter("labels > 1").drop("labels")
         return settle(rows.join(nodes, "node"), "nodes")
 
     def link(self, pairs: DataFrame) -> None:
@@ -214,12 +222,17 @@ class Join:
         rows = self.branch(roots, 0)
         for level in range(1, self.levels + 1):
             rows = self.meeting(self.labelled(rows))
-            large = F.col("size") > (self.node_size if level < self.levels else 2**62)
-            one, two = (rows.filter(~large).select("node", F.col("id").alias(c), F.col("label").alias(f"label_{c}")) for c in "ab")
-            small = one.join(two, "node").filter("a < b and label_a <> label_b").select("a", "b")
-            star = rows.filter(large).filter("id <> pivot.id and label <> pivot.label").select(
-                F.col("pivot.id").alias("a"), F.col("id").alias("b")
-            )
+            large = ~F.col("small") if level < self.levels else F.lit(False)
+            # All pairs of different labels have a side outside the main label; few classes are outside.
+            one = rows.filter(~large).filter("label <> main").select("node", F.col("id").alias("a"), F.col("label").alias("label_a"))
+            two = rows.filter(~large).select("node", F.col("id").alias("b"), F.col("label").alias("label_b"))
+            met = one.join(two, "node").filter("label_a <> label_b")
+            small = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            # Some classes outside the main label, the smallest of each part by hash, meet all of a large node.
+            slot = F.pmod(F.xxhash64("id"), F.lit(self.pivots))
+            pivots = rows.filter(large & F.expr("label <> main")).groupBy("node", slot).agg(F.min(F.struct("id", "label")).alias("pivot"))
+            star = rows.filter(large).select("node", "id", "label").join(pivots.select("node", "pivot"), "node")
+            star = star.filter("label <> pivot.label").select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
             self.link(small.unionByName(star))
             rows = rows.filter(large).select("node", "tree", "path", "id")
             if level == self.levels or rows.isEmpty():
@@ -230,7 +243,8 @@ class Join:
 
 
 def near_groups(
-    docs: DataFrame, width: int = 5, percent: int = 75, trees: int = 6, node_size: int = 16, levels: int = 12
+    docs: DataFrame, width: int = 5, percent: int = 75, trees: int = 6, node_size: int = 32, pivots: int = 6,
+    levels: int = 8,
 ) -> DataFrame:
     """For every row: doc_id, _hash, n_shingles, component_id, kept, first (whether this row is its group's first).
 
@@ -242,7 +256,7 @@ def near_groups(
     that none is given up. An empty table gives no rows.
     """
     rows = sets_of(docs, width)
-    labels = Join(docs, rows, width, percent, trees, node_size, levels).run()
+    labels = Join(docs, rows, width, percent, trees, node_size, pivots, levels).run()
     found = rows.select("doc_id", "_hash", "n", "id")
     if labels is not None:
         found = found.join(labels.withColumnRenamed("node", "id"), "id", "left")
