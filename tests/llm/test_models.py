@@ -1,0 +1,101 @@
+"""Top-k search, encoding and the classifier against brute force, a reference library and held-out rows."""
+
+from __future__ import annotations
+
+import base64
+import math
+from array import array
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+from cases import EDGE
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from strataload.llm import bpe, quality, topk
+
+RANKS = P.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def encoders():
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    theirs = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return bpe.TextEncoder(RANKS, P.PATTERN), theirs
+
+
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(alphabet=st.one_of(st.sampled_from("ab the\n\t 'sE1.\x00\x1c\x85\xa0é中😀"), st.characters(codec="utf-8")), max_size=60))
+def test_encoding_equals_the_library(encoders, text):
+    mine, theirs = encoders
+    ids = mine.encode([text])[0]
+    assert array("I", ids).tolist() == theirs.encode_ordinary(text) and mine.decode(ids) == text.encode()
+
+
+def test_long_runs_are_linear(encoders):
+    mine, theirs = encoders
+    text = "q" * 50_000 + "ab" * 20_000 + " " * 5_000
+    assert array("I", mine.encode([text])[0]).tolist() == theirs.encode_ordinary(text)
+
+
+def test_encode_documents(edge):
+    rows = bpe.encode_documents(edge, RANKS, P.PATTERN).collect()
+    assert len(rows) == len(EDGE)
+    assert sorted((r.doc_id or -1, bytes(r.decoded)) for r in rows) == sorted((i or -1, (t or "").encode()) for i, t in EDGE)
+    assert bpe.token_digests(edge.limit(0), RANKS, P.PATTERN).isEmpty()
+
+
+def brute_topk(rows, k):
+    good = {}
+    for i, v in rows:
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        w = tuple(math.floor(64 * x) for x in v)
+        good[i] = min(good.get(i, w), w)
+    out = []
+    for q, a in good.items():
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in good.items() if i != q and len(b) == len(a))
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(scores[:k], 1)] if q % 4 == 0 else []
+    return sorted(out)
+
+
+@pytest.mark.parametrize("scale", [0.3, 1.0, 1e4])
+def test_topk_by_brute_force(spark, scale):
+    rng = np.random.default_rng(2)
+    rows = [(i, [float(x) for x in np.round(rng.normal(0, scale, 6), 1)]) for i in range(120)]
+    rows += [(3, rows[3][1]), (200, None), (201, [None] * 6), (202, [float("nan")] * 6), (None, rows[0][1]), (204, [1.0]), (208, [2.0]), (212, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    files, blocks = topk.build_files(df, "embedding", rows_per_block=25, bits=3)
+    got = topk.search(files, blocks, df.filter("vec_id % 4 = 0"), "embedding", k=5, queries_per_block=7)
+    assert sorted(map(tuple, got.collect())) == brute_topk(rows, 5)
+
+
+def test_topk_of_no_vectors(spark):
+    df = spark.createDataFrame([], "vec_id long, embedding array<float>")
+    files, blocks = topk.build_files(df, "embedding")
+    assert topk.search(files, blocks, df, "embedding").isEmpty()
+
+
+def test_trees_learn_a_rule():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 4))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 2] < 0)).astype(float)
+    trees = quality.fit(x[:2000], y[:2000], trees=30)
+    assert ((trees.score(x[2000:]) >= 0.5) == y[2000:]).mean() > 0.95
+    assert set(np.sign(quality.fit(x, np.ones(len(x))).score(x) - 0.5)) == {1.0}
+    assert quality.fit(x[:0], y[:0]).score(x).shape == (3000,)
+
+
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    scored = quality.score(docs, quality.train(docs, labels), "s").join(labels, "doc_id")
+    scored = scored.filter(quality.held_out(scored.doc_id)).select("s", "quality").collect()
+    assert np.mean([(r.s >= 0.5) == (r.quality == 1) for r in scored]) > 0.95
+
+
+def test_scores_of_edge_rows(spark, edge):
+    labels = spark.createDataFrame([(7, 1), (11, 0), (11, 1), (99, 0), (None, 1), (8, None)], "doc_id long, quality int")
+    rows = quality.score(edge, quality.train(edge, labels), "s")
+    assert rows.columns == [*edge.columns, "s"] and all(0 <= r.s <= 1 for r in rows.collect())
