@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from strataload.functions.dates import seconds_text
+from strataload.functions.dates import micros_text
 from strataload.schemas import NULL_TOKEN
 
 
@@ -19,8 +19,8 @@ def entity_id(*parts: Column | str) -> Column:
 
 
 def version_key(entity: Column, change: Column) -> Column:
-    """Hash of an entity and its change time in whole seconds; NULLs hash as empty text (H4, H9)."""
-    when = F.coalesce(seconds_text(change), F.lit(""))
+    """Hash of an entity and its change time in microseconds; NULLs hash as empty text (H4, H9)."""
+    when = F.coalesce(micros_text(change), F.lit(""))
     return F.md5(F.concat(F.coalesce(entity, F.lit("")), F.lit("|"), when))
 
 

@@ -30,12 +30,12 @@ def latest_month(fact: DataFrame, loaddate: datetime) -> DataFrame:
 
 
 def refresh_latest_month(agg: DataFrame, fact: DataFrame, loaddate: datetime) -> DataFrame:
-    """The aggregate after replacing its newest month.
+    """The aggregate after replacing its newest month (A8, A9, I14); an empty fact replaces none.
 
     On stored tables the same is one overwrite of the month's partition.
     """
     newest = month_of(fact.agg(F.max("accountingdate")).scalar())
-    return agg.where(F.col("month_id") != newest).unionByName(latest_month(fact, loaddate))
+    return agg.where(~F.col("month_id").eqNullSafe(newest)).unionByName(latest_month(fact, loaddate))
 
 
 def report_by_state(agg: DataFrame, dim_policy: DataFrame) -> DataFrame:

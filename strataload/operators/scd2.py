@@ -28,7 +28,7 @@ from strataload.operators.timeline import Timeline
 from strataload.schemas import NO_PREDECESSOR, OPEN_END, STAMP, Scd2Spec, stamp
 
 FROM, TO = "valid_fromdate", "valid_todate"
-_NEW, _BEFORE, _AFTER, _AFFECTED, _STORED = "_new", "_before", "_after", "_affected", "_stored"
+_NEW, _BEFORE, _AFTER, _AFFECTED = "_new", "_before", "_after", "_affected"
 
 
 def new_rows(dim: DataFrame, staged: DataFrame, key: str) -> DataFrame:
@@ -62,10 +62,10 @@ def is_change(tracked: tuple[str, ...], before: str = _BEFORE, null_mode: str =
 
 
 def _rows_in_time(stored: DataFrame, staged: DataFrame, spec: Scd2Spec, loaddate: datetime) -> DataFrame:
-    """Stored and staged rows in one layout, tracked columns as text (G1)."""
+    """Stored rows and the staged rows of keys not stored yet, in one layout, tracked columns as text (G1)."""
     tracked = [F.col(c).cast("string").alias(c) for c in spec.tracked]
     old = stored.select(spec.key, spec.entity, FROM, TO, *tracked, "loaddate", F.lit(0).alias(_NEW))
-    new = staged.select(
+    new = new_rows(stored, staged, spec.key).select(
         spec.key, spec.entity,
         F.col(spec.change).cast(STAMP).alias(FROM), F.lit(None).cast(STAMP).alias(TO),
         *tracked, stamp(loaddate).alias("loaddate"), F.lit(1).alias(_NEW),
@@ -78,16 +78,12 @@ def _timeline(rows: DataFrame, spec: Scd2Spec, policy: SkewPolicy, at_most: int)
 
 
 def _with_changes(rows: DataFrame, spec: Scd2Spec, line: Timeline, null_mode: str) -> DataFrame:
-    """Drop staged rows that are already stored, then staged rows that change nothing.
+    """Drop staged rows that change nothing.
 
-    Equal keys are neighbours in time order with the stored row first, so the
-    newest stored key seen so far tells whether a staged row is known. This and the
-    comparison share the partitioning and the order of the interval step: the whole
-    load costs one shuffle and one sort.
+    The comparison shares the partitioning and the order of the interval step: beside
+    the exchange on the key that drops known rows, a load costs one shuffle and one sort.
     """
     is_new = F.col(_NEW) == 1
-    rows = line.carried(rows, F.when(~is_new, F.col(spec.key)), _STORED)
-    rows = rows.where(~(is_new & F.col(_STORED).eqNullSafe(F.col(spec.key)))).drop(_STORED)
     rows = line.previous(rows, list(spec.tracked), _BEFORE)
     return rows.where(~is_new | is_change(spec.tracked, null_mode=null_mode)).drop(_BEFORE)
 

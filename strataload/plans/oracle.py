@@ -10,7 +10,7 @@ L0, L1, L2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"
 def _staged(span: str, entity: str, key: str, when: str, columns: dict[str, str]) -> str:
     maxima = ", ".join(f"max({source}) AS {name}" for name, source in columns.items())
     return f"""
-      SELECT md5(coalesce({entity}, '') || '|' || coalesce(strftime({when}, '%Y-%m-%d %H:%M:%S'), '')) AS {key},
+      SELECT md5(coalesce({entity}, '') || '|' || coalesce(strftime({when}, '%Y-%m-%d %H:%M:%S.%f'), '')) AS {key},
              {when} AS chg, {entity} AS entity, {maxima}
       FROM stg WHERE {span} GROUP BY {when}, {entity}"""
 
@@ -329,13 +329,13 @@ SELECTS: dict[str, str] = {
     "lookup_single_key": """SELECT coalesce(t.transaction_id, 0) AS transaction_id, coalesce(p.policy_id, 0) AS policy_id,
         count(*) AS n_rows, CAST(sum(s.amount) AS DOUBLE) AS amount FROM stg s
         LEFT JOIN types t ON s.transactioncd = t.transactioncd
-        LEFT JOIN policy1 p ON s.policy_uniqueid = p.policy_uniqueid GROUP BY 1, 2""",
+        LEFT JOIN policy2 p ON s.policy_uniqueid = p.policy_uniqueid GROUP BY 1, 2""",
     "lookup_composite_key": """SELECT coalesce(c.coverage_id, 'Unknown') AS coverage_id, coalesce(l.limit_id, 0) AS limit_id,
         count(*) AS n_rows, CAST(sum(s.amount) AS DOUBLE) AS amount FROM stg s
-        LEFT JOIN coverage1 c ON s.coveragecd = c.coveragecd AND s.subline = c.subline AND s.asl = c.asl
-        LEFT JOIN limit1_all l ON s.limit1 = l.limit1 AND s.limit2 = l.limit2 GROUP BY 1, 2""",
+        LEFT JOIN coverage2 c ON s.coveragecd = c.coveragecd AND s.subline = c.subline AND s.asl = c.asl
+        LEFT JOIN limit2_all l ON s.limit1 = l.limit1 AND s.limit2 = l.limit2 GROUP BY 1, 2""",
     "point_in_time_join": _PIT.format(dim="vehicle2_dim"),
-    "point_in_time_timeline": _PIT.format(dim="vehicle1_dim"),
+    "point_in_time_timeline": _PIT.format(dim="vehicle2_dim"),
     "seed_transaction_types": """SELECT t.transaction_id, t.transactioncd, coalesce(n_rows, 0) AS n_rows,
         coalesce(amount, 0) AS amount FROM types t
         LEFT JOIN (SELECT coalesce(t.transactioncd, 'Unknown') AS transactioncd, count(*) AS n_rows,
@@ -343,15 +343,15 @@ SELECTS: dict[str, str] = {
                    FROM stg s LEFT JOIN types t ON s.transactioncd = t.transactioncd GROUP BY 1) s
         ON t.transactioncd = s.transactioncd""",
     "unknown_members": f"""
-        SELECT 'dim_coverage' AS dim, 'Unknown|~|~|~' AS member, count(*) FILTER (WHERE coverage_id = 'Unknown') AS n_facts FROM fact2
-        UNION ALL SELECT 'dim_deductible', '0|0.00|0.00', count(*) FILTER (WHERE deductible_id = 0) FROM fact2
+        SELECT 'dim_coverage' AS dim, 'Unknown|~|~|~' AS member, count(*) FILTER (WHERE coverage_id = 'Unknown') AS n_facts FROM fact
+        UNION ALL SELECT 'dim_deductible', '0|0.00|0.00', count(*) FILTER (WHERE deductible_id = 0) FROM fact
         UNION ALL SELECT 'dim_driver', 'Unknown|1900-01-01 00:00:00|3000-01-01 00:00:00|Unknown|~|1900-01-01|~|0',
-          count(*) FILTER (WHERE driver_id = 'Unknown') FROM fact2
-        UNION ALL SELECT 'dim_limit', '0|~|~', count(*) FILTER (WHERE limit_id = 0) FROM fact2
+          count(*) FILTER (WHERE driver_id = 'Unknown') FROM fact
+        UNION ALL SELECT 'dim_limit', '0|~|~', count(*) FILTER (WHERE limit_id = 0) FROM fact
         UNION ALL SELECT 'dim_policy', '0|0|Unknown|1900-01-01|2900-01-01|1900-01-01|~|~|~',
-          count(*) FILTER (WHERE policy_id = 0) FROM fact2
+          count(*) FILTER (WHERE policy_id = 0) FROM fact
         UNION ALL SELECT 'dim_vehicle', 'Unknown|1900-01-01 00:00:00|3000-12-31 00:00:00|Unknown|~|~|~|~|0',
-          count(*) FILTER (WHERE vehicle_id = 'Unknown') FROM fact2""",
+          count(*) FILTER (WHERE vehicle_id = 'Unknown') FROM fact""",
     "dim_policy": _POLICY_ROWS,
     "dim_coverage": f"SELECT coverage_id, coveragecd, subline, asl, {_text('loaddate')} FROM coverage2",
     "dim_deductible": f"SELECT deductible_id, {_money('deductible1')}, {_money('deductible2')}, {_text('loaddate')} FROM deductible2_all",
@@ -365,9 +365,9 @@ SELECTS: dict[str, str] = {
               EXCEPT SELECT DISTINCT coveragecd, subline, asl FROM stg WHERE {FIRST})""",
     "upsert_by_key": f"""
         SELECT c_custkey, c_name, c_acctbal, '{L1}' AS loaddate FROM customer
-        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')
+        WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)
         UNION ALL
-        SELECT o_custkey, 'seen', max(o_totalprice), '{L2}' FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey
+        SELECT o_custkey, 'seen', max(o_totalprice), '{L2}' FROM orders GROUP BY o_custkey
         UNION ALL SELECT 1000000000 + s_suppkey, s_name, s_acctbal, '{L2}' FROM supplier""",
     "sync_all_columns": """SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS c_segment,
         CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS c_acctbal FROM customer""",

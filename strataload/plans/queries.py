@@ -336,8 +336,8 @@ def seed_transaction_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def unknown_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The unknown member of each dimension with the facts of the second batch that fell to it."""
-    fact = State(spark, sf_dir).fact(2)
+    """The unknown member of each dimension with the facts that fell to it."""
+    fact = State(spark, sf_dir).facts()
     names = sorted(UNKNOWN_MEMBERS)
     keys = {name: f"{name.removeprefix('dim_')}_id" for name in names}
     unknown = {
@@ -365,7 +365,7 @@ def lookup_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = state.stg("transactioncd", "policy_uniqueid", "amount")
     rows = lookup(rows, seeds.transaction_types(spark), {"transactioncd": "transactioncd"}, "transaction_id",
                   UNKNOWN_ID, small=True)
-    rows = lookup(rows, state.dim("dim_policy", 1), {"policy_uniqueid": "policy_uniqueid"}, "policy_id", UNKNOWN_ID)
+    rows = lookup(rows, state.dim("dim_policy", 2), {"policy_uniqueid": "policy_uniqueid"}, "policy_id", UNKNOWN_ID)
     return counted(rows, "transaction_id", "policy_id")
 
 
@@ -373,8 +373,8 @@ def lookup_single_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lookup_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = State(spark, sf_dir)
     rows = state.stg(*_COVERAGE, "limit1", "limit2", "amount")
-    rows = lookup(rows, state.dim("dim_coverage", 1), {c: c for c in _COVERAGE}, "coverage_id", UNKNOWN_KEY)
-    rows = lookup(rows, state.dim("dim_limit", 1), {c: c for c in ("limit1", "limit2")}, "limit_id", UNKNOWN_ID)
+    rows = lookup(rows, state.dim("dim_coverage", 2), {c: c for c in _COVERAGE}, "coverage_id", UNKNOWN_KEY)
+    rows = lookup(rows, state.dim("dim_limit", 2), {c: c for c in ("limit1", "limit2")}, "limit_id", UNKNOWN_ID)
     return counted(rows, "coverage_id", "limit_id")
 
 
@@ -397,7 +397,7 @@ def point_in_time_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def point_in_time_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lookup by the way taken for entities with very many versions."""
-    return _amount_by_version(spark, sf_dir, 1, SkewPolicy(versions_per_probe=0))
+    return _amount_by_version(spark, sf_dir, 2, SkewPolicy(versions_per_probe=0))
 
 
 QUERIES["fact_build"] = lambda spark, sf_dir: shown(State(spark, sf_dir).facts())
@@ -436,7 +436,7 @@ def upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_acctbal", stamp(L1).alias("loaddate")
     )
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    orders = table(spark, sf_dir, "orders")
     seen = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.lit("seen").alias("c_name"), F.max("o_totalprice").alias("c_acctbal"), stamp(L2).alias("loaddate")
     )

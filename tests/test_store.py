@@ -73,6 +73,11 @@ def test_L24_reloading_a_range_replaces_it(spark, tmp_path, grain):
     rows = sorted((r.transactiondate, r.policy_id, int(r.amount)) for r in store.read_partitioned(name).collect())
     assert rows == [(20200110, 1, 1), (20200115, 1, 2), (20200115, 1, 2), (20200116, 2, 4), (20200205, 2, 4)]
     assert store.read_partitioned(name).schema.names == FACT_POLICYTRANSACTION.names
+    dates = lambda: sorted({r.transactiondate for r in store.read_partitioned(name).collect()})
+    store.replace_range(name, fact_rows(spark, (20200116, 2, 5)), second)  # shrinks
+    assert dates() == [20200110, 20200115, 20200116]
+    store.replace_range(name, fact_rows(spark).limit(0), second)
+    assert dates() == [20200110, 20200115]
     store.clear(name)
     assert store.read_partitioned(name).count() == 0
 
@@ -89,6 +94,16 @@ CSV = T.StructType([
 ])
 
 
+def test_csv_keeps_spaces_marks_breaks_and_microseconds(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    texts = [" lead", "trail ", "\\N", "\\\\N", "a\nb", "a\r\nb", 'q"q', "", None, ",", "\\"]
+    rows = [(20200101, t, datetime(2020, 1, 1, 1, 2, 3, 123456)) for t in texts]
+    df = spark.createDataFrame(rows, "transactiondate int, t string, at timestamp_ntz")
+    export_range(df, LoadRange(20191231, 20200102), path)
+    got = read_staged(spark, path, df.schema).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, rows))
+
+
 def test_csv_round_trip_keeps_quotes_nulls_and_blanks(spark, tmp_path):
     rows = [
         (20200102, 'a "quoted", text', Decimal("1.50"), datetime(2020, 1, 2, 3, 4, 5)),
@@ -123,4 +138,4 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert fresh_path(spark, "x").startswith(shared_root(spark))
     df = settle(spark.range(5))
     assert df.count() == 5 and "ParquetScan" not in str(df.schema)
-    assert shared_root(spark) == (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    assert shared_root(spark) == (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir"))
