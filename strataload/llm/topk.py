@@ -126,7 +126,7 @@ def search(files: DataFrame, blocks: int, queries: DataFrame, vector_col: str, k
             out += scan(
                 read("low"), read("width"), read("high"), read("cells", np.uint8).reshape(row["n"], dim),
                 read("exact").reshape(row["n"], dim), read("ids"), read("query_ids"),
-                read("queries").reshape(-1, dim), k,
+                read("queries").reshape(len(read("query_ids")), dim), k,
             )
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
