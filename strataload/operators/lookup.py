@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataload.operators.skew import SkewPolicy, profile
+from strataload.operators.skew import IS_HOT, SkewPolicy, hot_keys, marked, profile
 from strataload.operators.timeline import Timeline
 from strataload.schemas import UNKNOWN_KEY, Scd2Spec
 from strataload.operators.scd2 import FROM, TO
@@ -44,27 +44,39 @@ def point_in_time_lookup(
 ) -> DataFrame:
     """The version in force at ``at``: same entity and valid_from <= at < valid_to.
 
-    With few versions per entity this is an equi-join on the entity that tests the
-    range per candidate; adaptive execution splits hot entities on the fact side.
-    An entity with very many versions would meet every one of its facts with every
-    version, so beyond ``versions_per_probe`` the answer is found per distinct
-    (entity, time) on the timeline, in linear work, and joined back by equality.
-    That path takes the versions of an entity not to overlap, as ``load_scd2`` leaves them.
+    The version that began last decides: where versions of an entity overlap, the older
+    one ends as the newer begins. With few versions per entity this is an equi-join on the
+    entity that tests the range per candidate; adaptive execution splits hot entities on
+    the fact side. An entity of more than ``versions_per_probe`` versions would meet every
+    one of its facts with every version, so for such entities alone the answer is found per
+    distinct (entity, time) on the timeline, in linear work, and joined back by equality.
     """
-    probed = facts.withColumn(_PROBE, entity)
+    probed = facts.withColumns({_PROBE: entity, "_at": at})
     versions = dim.select(
         F.col(spec.entity).alias("_entity"), F.col(FROM).alias("_from"), F.col(TO).alias("_to"),
         F.col(spec.key).alias(_FOUND),
-    )
-    if profile(dim, spec.entity).largest <= policy.versions_per_probe:
-        condition = (F.col(_PROBE) == F.col("_entity")) & (at >= F.col("_from")) & (at < F.col("_to"))
-        joined = probed.join(versions, condition, "left").drop("_entity", "_from", "_to")
+    ).where(F.col("_entity").isNotNull() & (F.col("_from") < F.col("_to")))
+    if profile(versions, "_entity").largest <= policy.versions_per_probe:
+        joined = _in_force(probed, versions)
     else:
-        probed = probed.withColumn("_at", at)
-        found = versions_at(probed.select(F.col(_PROBE).alias("_entity"), "_at"), versions, policy)
+        busy = hot_keys(versions, "_entity", policy.versions_per_probe)
+        versions, probed = marked(versions, "_entity", busy), marked(probed, _PROBE, busy)
+        is_busy, others = F.col(IS_HOT), F.col(IS_HOT).isNull()
+        asks = probed.where(is_busy).select(F.col(_PROBE).alias("_entity"), "_at")
+        found = versions_at(asks, versions.where(is_busy), policy)
         condition = (F.col(_PROBE) == F.col("_entity")) & (F.col("_at") == F.col("_when"))
-        joined = probed.join(found, condition, "left").drop("_entity", "_when", "_at")
-    return joined.withColumn(spec.key, F.coalesce(_FOUND, F.lit(default))).drop(_FOUND, _PROBE)
+        joined = probed.where(is_busy).join(found, condition, "left").drop("_entity", "_when")
+        rest = _in_force(probed.where(others), versions.where(others).drop(IS_HOT))
+        joined = joined.unionByName(rest).drop(IS_HOT)
+    return joined.withColumn(spec.key, F.coalesce(_FOUND, F.lit(default))).drop(_FOUND, _PROBE, "_at")
+
+
+def _in_force(probed: DataFrame, versions: DataFrame) -> DataFrame:
+    """Probed rows with the key of their version, if any, by an equi-join with the range as a residual."""
+    later = F.lead("_from").over(Window.partitionBy("_entity").orderBy("_from", "_to", _FOUND))
+    versions = versions.withColumn("_to", F.least("_to", later))
+    condition = (F.col(_PROBE) == F.col("_entity")) & (F.col("_at") >= F.col("_from")) & (F.col("_at") < F.col("_to"))
+    return probed.join(versions, condition, "left").drop("_entity", "_from", "_to")
 
 
 def versions_at(probes: DataFrame, versions: DataFrame, policy: SkewPolicy) -> DataFrame:
@@ -73,19 +85,19 @@ def versions_at(probes: DataFrame, versions: DataFrame, policy: SkewPolicy) -> D
     Probes and version starts are laid on one timeline per entity, each probe takes
     the newest start before it, and a probe past that version's end finds none.
     """
-    none = F.lit(None)
-    version = F.struct(F.col("_from").alias("start"), F.col("_to").alias("end"), F.col(_FOUND).alias("key"))
-    starts = versions.where(F.col("_from") < F.col("_to")).select(
-        "_entity", F.col("_from").alias("_when"), F.lit(0).alias("_kind"), version.alias("_version")
+    starts = versions.select(
+        "_entity", F.col("_from").alias("_when"), F.lit(0).alias("_kind"), F.col("_to").alias("_end"), F.col(_FOUND).alias("_key"),
+        F.struct(F.col("_to").alias("end"), F.col(_FOUND).alias("key")).alias("_version"),
     )
+    none = {name: F.lit(None).cast(starts.schema[name].dataType) for name in ("_end", "_key", "_version")}
     asks = (
         probes.where(F.col("_entity").isNotNull() & F.col("_at").isNotNull())
         .distinct()
-        .select("_entity", F.col("_at").alias("_when"), F.lit(1).alias("_kind"),
-                none.cast(starts.schema["_version"].dataType).alias("_version"))
+        .select("_entity", F.col("_at").alias("_when"), F.lit(1).alias("_kind"))
+        .withColumns(none)
     )
     marks = settle(starts.unionByName(asks), "marks")
-    line = Timeline.over(marks, "_entity", ("_when", "_kind"), policy, marks.count())
+    line = Timeline.over(marks, "_entity", ("_when", "_kind", "_end", "_key"), policy, marks.count())
     rows = line.carried(line.place(marks), F.col("_version"), "_last")
     hit = (F.col("_kind") == 1) & (F.col("_when") < F.col("_last.end"))
     return line.done(rows).where(hit).select("_entity", "_when", F.col("_last.key").alias(_FOUND))

@@ -1,4 +1,4 @@
-"""Finding the keys that hold too many rows for one task, and where to cut them."""
+"""Finding the keys that hold too many rows for one task, and cutting them along an order."""
 
 from __future__ import annotations
 
@@ -6,24 +6,22 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from strataload.sources.scratch import settle
 
 PIECE = "_piece"
-_BOUNDS = "_bounds"
+_HOT, IS_HOT = "_hot", "_is_hot"
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """When a key counts as hot.
+    """When a key counts as hot: above ``rows_per_group`` rows, whatever the size of the data.
 
-    A key is hot above ``rows_per_group`` rows *and* above an even share of all
-    rows per shuffle partition. The second rule bounds the number of hot keys by
-    the number of shuffle partitions, whatever the size of the data, and every
-    key that is not hot fits an ordinary task.
+    ``versions_per_probe`` bounds the versions that one fact row is compared with, and
+    ``broadcast_keys`` the entities of a load whose list is broadcast.
     """
 
     rows_per_group: int = 2_000_000
-    max_pieces: int = 512
     versions_per_probe: int = 512
     broadcast_keys: int = 500_000
 
@@ -35,8 +33,16 @@ class KeyProfile:
     largest: int
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """The hot keys, one row each in shared storage, and the number of pieces for all of their rows."""
+
+    hot: DataFrame
+    pieces: int
+
+
 def profile(df: DataFrame, key: str) -> KeyProfile:
-    """Number of keys, of rows, and rows of the largest key: one row reaches the driver."""
+    """Number of keys, of rows, and rows of the largest key, NULL being one: one row reaches the driver."""
     row = (
         df.groupBy(key).agg(F.count("*").alias("n"))
         .agg(F.count("*").alias("keys"), F.sum("n").alias("rows"), F.max("n").alias("largest"))
@@ -45,48 +51,34 @@ def profile(df: DataFrame, key: str) -> KeyProfile:
     return KeyProfile(row["keys"], row["rows"] or 0, row["largest"] or 0)
 
 
-def cut_points(
-    df: DataFrame, key: str, order: str, found: KeyProfile, policy: SkewPolicy
-) -> DataFrame | None:
-    """Hot keys of ``df`` and the values of ``order`` at which to cut each, or None.
+def hot_keys(df: DataFrame, key: str, above: int) -> DataFrame:
+    """Keys of more than ``above`` rows, and their number of rows; a NULL key is one too."""
+    counts = df.groupBy(F.col(key).alias(_HOT)).agg(F.count("*").alias("n")).where(F.col("n") > above)
+    return settle(counts.withColumn(IS_HOT, F.lit(True)), "hot-keys")
 
-    The cut points are collected so that every later use of them sees the same
-    ones. There are at most ``shuffle partitions`` hot keys, and as a key gets one
-    piece per ``threshold`` rows, at most twice as many pieces in total.
-    """
-    spark = df.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    threshold = max(policy.rows_per_group, found.rows // partitions)
-    if found.largest <= threshold:
+
+def marked(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """``df`` with ``_is_hot``: true for rows of a hot key, else NULL."""
+    return df.join(hot.select(_HOT, IS_HOT), F.col(key).eqNullSafe(F.col(_HOT)), "left").drop(_HOT)
+
+
+def find_cuts(df: DataFrame, key: str, found: KeyProfile, policy: SkewPolicy) -> Cuts | None:
+    """The hot keys of ``df``, or None; nothing but the number of their rows reaches the driver."""
+    if found.largest <= policy.rows_per_group:
         return None
-    hot = df.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > threshold)
-    pieces = min(-(-found.largest // threshold) + 1, policy.max_pieces)
-    steps = [i / pieces for i in range(1, pieces)]
-    quantiles = (
-        df.join(F.broadcast(hot), key)
-        .groupBy(key)
-        .agg(F.percentile_approx(order, steps, 10_000).alias("points"), F.max("n").alias("n"))
-        .collect()
-    )
-    rows = []
-    for row in quantiles:
-        wanted = min(-(-row["n"] // threshold) + 1, pieces)
-        picked = {row["points"][int(i * pieces / wanted) - 1] for i in range(1, wanted)}
-        rows.append((row[key], sorted(p for p in picked if p is not None)))
-    schema = T.StructType([
-        T.StructField(key, df.schema[key].dataType),
-        T.StructField(_BOUNDS, T.ArrayType(df.schema[order].dataType)),
-    ])
-    return spark.createDataFrame(rows, schema)
-
-
-def with_piece(df: DataFrame, key: str, order: str, cuts: DataFrame) -> DataFrame:
+    hot = hot_keys(df, key, policy.rows_per_group)
+    rows = hot.agg(F.sum("n")).first()[0]
+    return Cuts(hot, -(-rows // policy.rows_per_group) + 1)
+
+
+def with_piece(df: DataFrame, key: str, order: str, cuts: Cuts) -> DataFrame:
     """Number the pieces of hot keys in the order of ``order``; NULL for all other keys.
 
-    Rows with equal ``order`` share a piece, and a NULL goes to the last piece.
+    The rows of hot keys are range-partitioned by key and order, and a partition is a
+    piece: as many as the rows ask for. Rows with equal ``order`` share a piece, and a
+    NULL goes to the last one. The numbers hold for one run of the plan; settle the rows.
     """
-    position = F.when(
-        F.col(order).isNull(), F.size(_BOUNDS)
-    ).otherwise(F.size(F.filter(_BOUNDS, lambda b: b <= F.col(order))))
-    piece = F.when(F.col(_BOUNDS).isNotNull(), position)
-    return df.join(F.broadcast(cuts), key, "left").withColumn(PIECE, piece).drop(_BOUNDS)
+    rows = marked(df, key, cuts.hot)
+    dealt = rows.where(IS_HOT).repartitionByRange(cuts.pieces, F.col(key), F.col(order).asc_nulls_last())
+    others = rows.where(F.col(IS_HOT).isNull()).withColumn(PIECE, F.lit(None).cast("int"))
+    return dealt.withColumn(PIECE, F.spark_partition_id()).unionByName(others).drop(IS_HOT)

@@ -13,17 +13,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from strataload.operators.skew import PIECE, SkewPolicy, cut_points, profile, with_piece
+from strataload.operators.skew import PIECE, Cuts, SkewPolicy, find_cuts, profile, with_piece
 from strataload.sources.scratch import settle
 
-_EDGE = "_edge"
+_EDGE, _OF, _AT = "_edge", "_edge_of", "_edge_at"
 
 
 @dataclass(frozen=True)
 class Timeline:
     entity: str
     order: tuple[str, ...]
-    cuts: DataFrame | None = None
+    cuts: Cuts | None = None
 
     @classmethod
     def over(
@@ -42,7 +42,7 @@ class Timeline:
         if at_most is not None and at_most <= policy.rows_per_group:
             return cls(entity, order)
         found = profile(rows, entity)
-        return cls(entity, order, cut_points(rows, entity, order[0], found, policy))
+        return cls(entity, order, find_cuts(rows, entity, found, policy))
 
     def place(self, df: DataFrame) -> DataFrame:
         """Prepare a frame for the methods below.
@@ -83,9 +83,10 @@ class Timeline:
             .groupBy(self.entity, PIECE).agg(edge.alias(_EDGE))
             .select(self.entity, PIECE, pick(_EDGE, ignorenulls=True).over(reach).alias(_EDGE))
         )
-        # One row per piece, and pieces are at most twice the shuffle partitions.
-        joined = df.join(F.broadcast(edges), [self.entity, PIECE], "left")
-        return joined.withColumn(out, F.coalesce(out, _EDGE)).drop(_EDGE)
+        # One row per piece; adaptive execution broadcasts them if they are small.
+        edges = edges.withColumnsRenamed({self.entity: _OF, PIECE: _AT})
+        met = F.col(self.entity).eqNullSafe(F.col(_OF)) & (F.col(PIECE) == F.col(_AT))
+        return df.join(edges, met, "left").withColumn(out, F.coalesce(out, _EDGE)).drop(_EDGE, _OF, _AT)
 
     def previous(self, df: DataFrame, columns: list[str], out: str) -> DataFrame:
         """``out``: struct of ``columns`` of the row before, NULL if there is none."""
@@ -120,7 +121,7 @@ class Timeline:
             return df
         hot = (
             df.where(F.col(PIECE).isNotNull())
-            .groupBy(self.entity).agg((flag == 1).alias(_EDGE))
+            .groupBy(F.col(self.entity).alias(_OF)).agg((flag == 1).alias(_EDGE))
         )
-        joined = df.join(F.broadcast(hot), self.entity, "left")
-        return joined.withColumn(out, F.coalesce(_EDGE, out)).drop(_EDGE)
+        joined = df.join(hot, F.col(self.entity).eqNullSafe(F.col(_OF)), "left")
+        return joined.withColumn(out, F.coalesce(_EDGE, out)).drop(_EDGE, _OF)
