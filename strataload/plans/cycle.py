@@ -147,8 +147,11 @@ def run_load_cycle(
 
     The load is closed before the checks run, so a failed check does not make the
     range load again. A load that dies before that leaves its log row open and its
-    range is taken up by the next run; every step of it can be repeated.
+    range is taken up by the next run; every step of it can be repeated. Staged files are
+    removed either way; a stage name that does not exist is an error before anything is done.
     """
+    if unknown := sorted(stages - STAGES):
+        raise ValueError(f"unknown stages {unknown}; known are {sorted(STAGES)}")
     load = next_range(store)
     if load is None:
         return LoadResult()
@@ -156,12 +159,25 @@ def run_load_cycle(
     log = control.orchestration_open(store.read("orchestration_log"), ctx.loaddate, load.high)
     store.write_small("orchestration_log", log)
 
-    stg = source
-    if "extract" in stages:
-        staged, exported = (fresh_path(store.spark, name) for name in ("stg_pt", "export"))
-        export_range(source, load, exported)
-        load_staged(store.spark, exported, STG_PT, staged)
-        stg = store.spark.read.schema(STG_PT).parquet(staged)
+    extracted = [fresh_path(store.spark, name) for name in ("export", "stg_pt")] if "extract" in stages else []
+    try:
+        stg = source
+        if extracted:
+            export_range(source, load, extracted[0])
+            load_staged(store.spark, extracted[0], STG_PT, extracted[1])
+            stg = store.spark.read.schema(STG_PT).parquet(extracted[1])
+        _load_and_check(store, stg, ctx, stages, policy, result)
+    finally:
+        for path in extracted:
+            remove(store.spark, path)
+    return result
+
+
+def _load_and_check(
+    store: Store, stg: DataFrame, ctx: LoadContext, stages: frozenset[str], policy: SkewPolicy, result: LoadResult
+) -> None:
+    """The stages after staging, and the closing of the load."""
+    load = result.load
     if "dims" in stages:
         _logged(store, ctx, DIMS, lambda name: load_dimension(store, name, stg, load, ctx, policy))
     if "facts" in stages:
@@ -180,7 +196,3 @@ def run_load_cycle(
     if "tests" in stages:
         result.failed_checks = checks.failures(stored)
         result.reconciled = checks.reconcile(stg, stored[FACT], load, ctx.loaddate).isEmpty()
-    if "extract" in stages:
-        for path in (exported, staged):
-            remove(store.spark, path)
-    return result

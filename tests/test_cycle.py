@@ -127,6 +127,8 @@ def test_stages_can_be_left_out_and_an_open_load_is_retried(spark, tmp_path):
     from strataload.operators import control
 
     store.write("orchestration_log", control.orchestration_open(store.read("orchestration_log"), T1, 20200105))
+    with pytest.raises(ValueError, match="'dim'"):
+        run_load_cycle(store, source, ctx(T2), stages=frozenset({"dim"}))
     result = run_load_cycle(store, source, ctx(T2), stages=frozenset({"facts"}))
     assert result.load == LoadRange(19000101, 20200105) and result.reconciled is None
     facts = store.read_partitioned(FACT)
