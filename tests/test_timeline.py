@@ -16,6 +16,7 @@ from strataload.schemas import Scd2Spec
 CUT = SkewPolicy(rows_per_group=10)
 ROWS = [("hot", day(i), f"k{i}", None if i % 3 else f"v{i}") for i in range(120)]
 ROWS += [("hot", None, "kn", "vn")] + [(f"c{i % 7}", day(i), f"q{i}", f"w{i}") for i in range(40)]
+NULLS = [(None, day(i), f"n{i}", f"x{i}" if i % 7 == 0 else None) for i in range(30)]
 LAYOUT = "e string, at timestamp_ntz, k string, v string"
 
 
@@ -36,20 +37,22 @@ def neighbours(rows):
 
 @pytest.mark.parametrize("policy", [SkewPolicy(), CUT], ids=["plain", "cut"])
 def test_neighbours_are_the_same_with_and_without_cuts(spark, policy):
-    df = spark.createDataFrame(ROWS, LAYOUT)
+    df = spark.createDataFrame(ROWS + NULLS, LAYOUT)
     line = Timeline.over(df, "e", ("at", "k"), policy)
     assert (line.cuts is None) == (policy.rows_per_group > len(ROWS))
     rows = line.place(df)
     if line.cuts is not None:
         sizes = {r[PIECE]: r["n"] for r in rows.where("e = 'hot'").groupBy(PIECE).agg(F.count("*").alias("n")).collect()}
         assert len(sizes) >= 3 and max(sizes.values()) <= 60
+        nulls = rows.where("e IS NULL").groupBy(PIECE).count().collect()
+        assert len(nulls) >= 2 and all(r[PIECE] is not None for r in nulls)
         assert rows.where(f"e <> 'hot' AND {PIECE} IS NOT NULL").isEmpty()
     rows = line.previous(rows, ["k"], "before")
     rows = line.following(rows, ["k"], "after")
     rows = line.carried(rows, F.col("v"), "newest")
     rows = line.done(line.anywhere(rows, F.coalesce(F.col("v") == "v60", F.lit(False)), "has"))
     got = {r.k: (r.before and r.before.k, r.after and r.after.k, r.newest, r.has) for r in rows.collect()}
-    assert got == neighbours(ROWS)
+    assert got == neighbours(ROWS + NULLS)
 
 
 def test_known_bound_saves_the_measuring(spark):
@@ -86,6 +89,21 @@ def test_L3_L4_point_in_time_is_half_open(spark, policy):
     assert out.count() == len(facts)
 
 
+@pytest.mark.parametrize("bound", [512, 2, 0])
+def test_of_overlapping_versions_the_later_decides(spark, bound):
+    """Also when only one of two entities is beyond the bound."""
+    rows = [("1_A", "a", day(0), day(50)), ("1_A", "b", day(10), day(20)), ("1_A", "c", day(10), day(15)), ("2_B", "d", day(0), day(30)),
+            (None, "e", day(0), day(50))]
+    dim = spark.createDataFrame(rows, "e string, k string, valid_fromdate timestamp_ntz, valid_todate timestamp_ntz")
+    facts = [(n, p, r, day(n)) for n in (5, 12, 17, 25) for p, r in ((1, "A"), (2, "B"), (3, None))]
+    df = spark.createDataFrame(facts, "id int, p int, r string, at timestamp_ntz")
+    out = point_in_time_lookup(df, dim, SPEC, entity_id("p", "r"), F.col("at"), policy=SkewPolicy(versions_per_probe=bound))
+    got = {(r.id, r.p): r.k for r in out.collect()}
+    assert out.count() == len(facts)
+    assert [got[n, 1] for n in (5, 12, 17, 25)] == ["a", "b", "b", "Unknown"]
+    assert {got[n, 2] for n in (5, 12, 17, 25)} == {"d"} and {got[n, 3] for n in (5, 12, 17, 25)} == {"Unknown"}
+
+
 def test_L21_lookup_defaults_on_null_and_miss(spark):
     dim = spark.createDataFrame([(0, "~", "~"), (1, "a", "b"), (2, "~", "b")], "id int, x string, y string")
     facts = spark.createDataFrame(
