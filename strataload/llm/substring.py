@@ -1,12 +1,18 @@
-"""Substring dedup by content-defined chunks.
-
-A gear hash rolls over the bytes of each whole text: 32 bits shifted by one with each
-byte, so it depends on the last 32 bytes alone. A chunk ends where the hash is below a
-bound. As no other rule moves the ends, two copies of a passage have the same chunks
-from 32 bytes after their start on, whatever stands before them or was inserted. Chunks
-are compared by digest; of equal chunks the first one stays. A later copy goes only as
-part of a run of at least ``min_run`` bytes of later copies, so chance repeats of a few
-words leave a text as it is.
+"""Substring dedup of every repeated byte span of a least length.
+
+A byte goes if it lies in a span of at least ``min_run`` bytes of which an earlier copy
+exists, earlier by (doc_id, hash, place). Such a span is the union of its windows of
+``min_run`` bytes, so it is enough to know which windows have an earlier copy.
+
+Each window is anchored at its gram of ``min_run / 2`` bytes (64 at most) with the least
+hash; equal windows have equal anchors at equal places. Neighbouring windows mostly share
+an anchor; the bytes they cover together are a segment, about one per ``min_run / 4``
+bytes. A window can have a copy only if its anchor's gram occurs again. Of equal segments
+the first stays and every window of the others has a copy. Where the segments around a
+gram differ, as at both ends of a passage, the first of each kind is cut into blocks of
+eight windows, in step with the gram, and those with the same bytes common to their
+windows are compared in the same way; where blocks differ, window by window. So nothing
+is left to chance: no span is missed, however its surroundings look.
 """
 
 from __future__ import annotations
@@ -19,97 +25,212 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-GEAR = np.random.default_rng(20240229).integers(0, 2**32, 256, dtype=np.uint32)
-CHUNKS = "_id long, _hash long, place int, digest binary"
+from strataload.sources.scratch import settle
+
+GEAR = np.random.default_rng(20240229).integers(0, 2**64, 256, dtype=np.uint64)
+GRAMS = "gram long"
+SEGMENTS = "gram long, kind long, _id long, _hash long, start int, end int"
+CONTENTS = "_id long, _hash long, base int, content binary"
+BLOCKS = "gram long, core long, kind long, _id long, _hash long, start int, end int, base int"
+WINDOWS = "gram long, kind long, _id long, _hash long, start int, end int"
 RESULT = "doc_id long, n_chunks long, n_deleted long, deleted_bytes long, deleted_spans string, text string"
+_DOC = ["_id", "_hash"]  # the text's hash tells apart rows that share an id
+
+
+def gram_size(min_run: int) -> int:
+    """The largest power of two that is at most 64 and half of ``min_run``."""
+    return 1 << min(6, max(0, (min_run // 2).bit_length() - 1))
 
 
-def chunk_ends(data: np.ndarray, average: int) -> np.ndarray:
-    """The ends of all chunks of a text's bytes; the last is the text's end. No end splits a character."""
-    size = len(data)
-    if not size:
-        return np.zeros(0, np.int64)
+def anchors(data: np.ndarray, min_run: int) -> tuple[np.ndarray, ...]:
+    """Gram hash, start, end and the gram's place of every segment of a text's bytes; a shorter text than ``min_run`` has none."""
+    none = np.zeros(0, np.int64)
+    if len(data) < min_run:
+        return none, none, none, none
+    size = gram_size(min_run)
     rolled = GEAR[data]
-    for width in (1, 2, 4, 8, 16):  # sums over twice as many bytes each time
-        rolled[width:] = rolled[width:] + (rolled[:-width] << np.uint32(width))
-    # An end lies behind byte i; the next byte must begin a character.
-    ends = np.flatnonzero((rolled[:-1] < np.uint32(2**32 // average)) & ((data[1:] & 0xC0) != 0x80)) + 1
-    return np.append(ends, size)
+    width = 1
+    while width < size:  # sums over twice as many bytes each time
+        rolled[width:] = rolled[width:] + (rolled[:-width] << np.uint64(width))
+        width *= 2
+    grams = rolled[size - 1 :]
+    mixed = (grams ^ (grams >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    least = (mixed >> np.uint64(32) << np.uint64(32)) | np.arange(len(grams), dtype=np.uint64)  # of equal ones the leftmost
+    count, width = min_run - size + 1, 1  # grams per window
+    while width < count:
+        step = min(width, count - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    at = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    first = np.flatnonzero(np.diff(at, prepend=-1))
+    return grams[at[first]].view(np.int64), first, np.append(first[1:], len(at)) - 1 + min_run, at[first]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """The text's hash tells apart rows that share an id."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(F.col("doc_id").alias("_id"), F.xxhash64(text).alias("_hash"), text.alias("_text"))
 
 
-def chunks(docs: DataFrame, average: int = 40) -> DataFrame:
-    """Every chunk of every text: _id, _hash, place (from 0), digest."""
+def _digest(data: bytes) -> int:
+    """64 bits; compared only where the grams are equal as well."""
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
+def _anchored(docs: DataFrame, min_run: int, schema: str) -> DataFrame:
+    """GRAMS or SEGMENTS of every text."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
             for at in range(0, len(whole), 256):  # rows of 256 texts at a time
                 batch = whole.iloc[at : at + 256]
-                digests, counts = [], []
-                for text in batch["_text"]:
-                    data = text.encode("utf-8", "replace")
-                    ends = chunk_ends(np.frombuffer(data, np.uint8), average).tolist()
-                    digests += [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip([0, *ends], ends)]
-                    counts.append(len(ends))
-                counts = np.array(counts, np.int64)
-                place = np.arange(len(digests)) - np.repeat(np.cumsum(counts) - counts, counts)
-                yield pd.DataFrame({
-                    "_id": batch["_id"].astype("Int64").repeat(counts).to_numpy(), "_hash": batch["_hash"].repeat(counts).to_numpy(),
-                    "place": place.astype(np.int32), "digest": digests,
-                })
-
-    return _keyed(docs).mapInPandas(cut, CHUNKS)
-
-
-def later_copies(found: DataFrame) -> DataFrame:
-    """For each text with any: the places of its chunks of which an earlier copy exists, by (doc_id, hash, place)."""
-    here = F.struct("_id", "_hash", "place")
-    first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(here).alias("first")).filter("n > 1").drop("n")
-    later = found.join(first, "digest").filter(~here.eqNullSafe(F.col("first")))
-    return later.groupBy("_id", "_hash").agg(F.collect_set("place").alias("later"))
-
-
-def deleted_spans(ends: np.ndarray, later, min_run: int) -> list[tuple[int, int]]:
-    """Byte spans of the runs of later copies that are long enough."""
-    flags = np.zeros(len(ends) + 2, np.int8)
-    flags[np.asarray(later, np.int64) + 1] = 1
-    turns = np.diff(flags)
-    starts = np.append(0, ends)
-    spans = [(int(starts[a]), int(starts[b])) for a, b in zip(np.flatnonzero(turns == 1), np.flatnonzero(turns == -1))]
-    return [(a, b) for a, b in spans if b - a >= min_run]
-
-
-def substring_dedup(docs: DataFrame, average: int = 40, min_run: int = 128) -> DataFrame:
-    """Per row: doc_id, chunk counts, deleted bytes and spans (UTF-8 bytes, end exclusive), remaining text.
-
-    NULL and empty texts have no chunks; a NULL doc_id comes before all others; rows with
-    equal doc_id and text are one document and share the result; an empty table gives no
-    rows. Other columns are not read.
-    """
-    later = later_copies(chunks(docs, average))
+                coded = [text.encode("utf-8", "replace") for text in batch["_text"]]
+                found = [anchors(np.frombuffer(data, np.uint8), min_run) for data in coded]
+                out = pd.DataFrame({"gram": np.concatenate([x[0] for x in found])})
+                if schema == SEGMENTS:
+                    counts = [len(x[0]) for x in found]
+                    out["kind"] = [_digest(data[a:b]) for data, x in zip(coded, found) for a, b in zip(x[1].tolist(), x[2].tolist())]
+                    out["_id"] = batch["_id"].astype("Int64").repeat(counts).to_numpy()
+                    out["_hash"] = batch["_hash"].repeat(counts).to_numpy()
+                    out["start"] = np.concatenate([x[1] for x in found]).astype(np.int32)
+                    out["end"] = np.concatenate([x[2] for x in found]).astype(np.int32)
+                yield out
+
+    return _keyed(docs).mapInPandas(cut, schema)
+
+
+def _compared(rows: DataFrame, *key: str) -> DataFrame:
+    """Rows that are not the first of their kind, and firsts whose key has several kinds: ``is_first`` tells which."""
+    place = F.struct(*_DOC, "start")
+    kinds = settle(rows.groupBy(*key, "kind").agg(F.count("*").alias("n"), F.min(place).alias("first")), "kinds")
+    mixed = kinds.groupBy(*key).count().filter("count > 1").select(*key, F.lit(True).alias("mixed"))
+    kinds = kinds.join(mixed, list(key), "left").filter("n > 1 or mixed").drop("n")
+    met = rows.join(kinds, [*key, "kind"]).withColumn("is_first", place.eqNullSafe(F.col("first")))
+    return settle(met.filter("not is_first or mixed").drop("first", "mixed", "kind"), "compared")
+
+
+def _with_text(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The texts of all documents with their places, an array of (start, end); NULL for none."""
+    places = places.groupBy(*_DOC).agg(F.collect_set(F.struct("start", "end")).alias("places"))
+    places = places.select(*_DOC, F.col("places.start").alias("starts"), F.col("places.end").alias("ends"))
     rows = _keyed(docs)
-    same = rows["_id"].eqNullSafe(later["_id"]) & (rows["_hash"] == later["_hash"])
-    met = rows.join(later, same, "left").select(rows["_id"], "_text", "later")
+    same = rows["_id"].eqNullSafe(places["_id"]) & (rows["_hash"] == places["_hash"])
+    return rows.join(places, same, "left").select(rows["_id"], rows["_hash"], "_text", "starts", "ends")
+
+
+def _contents(docs: DataFrame, edges: DataFrame) -> DataFrame:
+    """The bytes of some segments, once each."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids, keys, bases, contents = [], [], [], []
+            for doc_id, key, text, starts, ends in zip(batch["_id"].astype("Int64"), batch["_hash"], batch["_text"], batch["starts"], batch["ends"]):
+                data = text.encode("utf-8", "replace")
+                ids += [doc_id] * len(starts)
+                keys += [key] * len(starts)
+                bases += starts.tolist()
+                contents += [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+            yield pd.DataFrame({"_id": pd.array(ids, "Int64"), "_hash": np.array(keys, np.int64), "base": np.array(bases, np.int32), "content": contents})
+
+    texts = _with_text(docs, edges).filter("starts is not null")
+    return texts.mapInPandas(read, CONTENTS).dropDuplicates([*_DOC, "base"])
+
+
+def blocks(content: bytes, min_run: int, size: int) -> list[tuple[bytes, int, int]]:
+    """A segment's windows, ``size`` at a time in step with its gram: bytes common to a whole block, and first and last start."""
+    _, _, _, (at,) = anchors(np.frombuffer(content, np.uint8), min_run)
+    at, last, out = int(at), len(content) - min_run, []
+    for j in range((at - last) // size, at // size + 1):
+        end = at - j * size  # the last window's start, if the segment has it
+        out.append((content[end : end - size + 1 + min_run], max(0, end - size + 1), min(last, end)))
+    return out
+
+
+def repeated_spans(docs: DataFrame, min_run: int) -> DataFrame:
+    """(_id, _hash, start, end): spans that together hold every window of which an earlier copy exists."""
+    grams = _anchored(docs, min_run, GRAMS).groupBy("gram").count().filter("count > 1").select("gram")
+    segments = _compared(settle(_anchored(docs, min_run, SEGMENTS).join(grams, "gram", "left_semi"), "segments"), "gram")
+    contents = settle(_contents(docs, segments.filter("is_first")), "contents")
+    size = 8 if min_run >= 16 else 1
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [blocks(content, min_run, size) for content in batch["content"]]
+            counts = [len(x) for x in found]
+            out = batch[["_id", "_hash", "base"]].astype({"_id": "Int64"})
+            out["gram"] = [anchors(np.frombuffer(x, np.uint8), min_run)[0][0] for x in batch["content"]]
+            out = out.loc[out.index.repeat(counts)]
+            out["core"] = [_digest(core) for x in found for core, _, _ in x]
+            out["kind"] = [_digest(content[a : b + min_run]) for content, x in zip(batch["content"], found) for _, a, b in x]
+            out["start"] = out["base"] + np.array([a for x in found for _, a, _ in x], np.int32)
+            out["end"] = (out["base"] + np.array([b + min_run for x in found for _, _, b in x], np.int32)).astype(np.int32)
+            yield out[[c.split()[0] for c in BLOCKS.split(", ")]]
+
+    parts = _compared(settle(contents.mapInPandas(cut, BLOCKS), "blocks"), "gram", "core")
+
+    def window(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            counts = (batch["end"] - batch["start"] - min_run + 1).to_numpy()
+            out = batch[["gram", "_id", "_hash"]].astype({"_id": "Int64"})
+            out = out.loc[out.index.repeat(counts)]
+            begun = [range(a, b - min_run + 1) for a, b in zip(batch["start"], batch["end"])]
+            out["kind"] = [_digest(x[s - base : s - base + min_run]) for x, base, r in zip(batch["content"], batch["base"], begun) for s in r]
+            out["start"] = np.array([s for r in begun for s in r], np.int32)
+            out["end"] = out["start"] + np.int32(min_run)
+            yield out[[c.split()[0] for c in WINDOWS.split(", ")]]
+
+    edges, held = parts.filter("is_first").drop("is_first"), contents.select("*")
+    same = edges["_id"].eqNullSafe(held["_id"]) & (edges["_hash"] == held["_hash"]) & (edges["base"] == held["base"])
+    edges = edges.join(held, same).select(*[edges[c] for c in ("gram", "_id", "_hash", "start", "end", "base")], "content")
+    windows = _compared(settle(edges.mapInPandas(window, WINDOWS), "windows"), "gram")
+    later = [x.filter("not is_first").select(*_DOC, "start", "end") for x in (segments, parts, windows)]
+    return later[0].unionByName(later[1]).unionByName(later[2])
+
+
+def deleted_spans(data: np.ndarray, starts, ends) -> list[tuple[int, int]]:
+    """The union of byte spans, each cut back to whole characters."""
+    starts, ends = np.asarray(starts, np.int64), np.asarray(ends, np.int64)
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    breaks = np.flatnonzero(starts[1:] > reach[:-1])
+    spans = []
+    for a, b in zip(starts[np.append(0, breaks + 1)].tolist(), reach[np.append(breaks, len(reach) - 1)].tolist()):
+        while a < b and data[a] & 0xC0 == 0x80:
+            a += 1
+        while a < b and b < len(data) and data[b] & 0xC0 == 0x80:
+            b -= 1
+        if a < b:
+            spans.append((a, b))
+    return spans
+
+
+def substring_dedup(docs: DataFrame, min_run: int = 128) -> DataFrame:
+    """Per row: doc_id, segment counts, deleted bytes and spans (UTF-8 bytes, end exclusive), remaining text.
+
+    A byte goes if it lies in at least ``min_run`` bytes of which an earlier copy exists;
+    copies inside one text count, also when they overlap. A deleted span that would begin
+    or end inside a character is cut back to whole characters. ``n_chunks`` counts a
+    text's segments and ``n_deleted`` those that lie in deleted spans.
+
+    NULL texts, and texts of less than ``min_run`` bytes, have no segments; a NULL doc_id comes before
+    all others; rows with equal doc_id and text are one document and share the result; an
+    empty table gives no rows. Other columns are not read.
+    """
 
     def delete(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for doc_id, text, marked in zip(batch["_id"].astype("Int64"), batch["_text"], batch["later"]):
+            for doc_id, text, starts, ends in zip(batch["_id"].astype("Int64"), batch["_text"], batch["starts"], batch["ends"]):
                 data = text.encode("utf-8", "replace")
-                ends = chunk_ends(np.frombuffer(data, np.uint8), average)
-                spans = deleted_spans(ends, marked, min_run) if marked is not None else []
+                whole = np.frombuffer(data, np.uint8)
+                _, begun, ended, _ = anchors(whole, min_run)
+                spans = deleted_spans(whole, starts, ends) if starts is not None else []
                 kept, at = [], 0
                 for a, b in spans:
                     kept.append(data[at:a])
                     at = b
                 left = b"".join([*kept, data[at:]]).decode() if spans else text
-                gone = sum(int(((ends > a) & (ends <= b)).sum()) for a, b in spans)
-                out.append((doc_id, len(ends), gone, sum(b - a for a, b in spans), ",".join(f"{a}:{b}" for a, b in spans), left))
+                gone = sum(int(((begun >= a) & (ended <= b)).sum()) for a, b in spans)
+                out.append((doc_id, len(begun), gone, sum(b - a for a, b in spans), ",".join(f"{a}:{b}" for a, b in spans), left))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in RESULT.split(", ")]).astype({"doc_id": "Int64"})
 
-    return met.mapInPandas(delete, RESULT)
+    return _with_text(docs, repeated_spans(docs, min_run)).mapInPandas(delete, RESULT)

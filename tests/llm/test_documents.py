@@ -90,6 +90,41 @@ def test_substring_dedup(documents):
     assert rows[4].text == rows[5].text == "" and rows[None].text.strip("é") == ""
 
 
+@pytest.mark.parametrize("words", [50, 55, 60])
+def test_substring_dedup_by_brute_force(documents, words):
+    """Passages between unique neighbours, with copies of different length, inside one text, and overlapping ones."""
+    rng = np.random.default_rng(words)
+    text = lambda n: " ".join("".join(rng.choice(list("abcdefghijklmnopé"), rng.integers(1, 9))) for _ in range(n))
+    passages = [text(words) for _ in range(12)]
+    docs = [(i, text(30) + p + text(30)) for i, p in enumerate(passages)]
+    docs += [(100 + i, text(9) + p + text(9)) for i, p in enumerate(passages)]
+    # The first copy of a gram is shorter than the second, which alone is long enough at the third's ends.
+    docs += [(200 + i, text(9) + p[:cut] + text(9)) for i, (p, cut) in enumerate(zip(passages, range(90, 150, 5)))]
+    docs += [(-50 + i, text(5) + p[30:130] + text(5)) for i, p in enumerate(passages)]
+    docs += [(300, passages[0] + passages[1] + text(5) + passages[0]), (301, "ab " * 100 + text(3) + "ab " * 90), (None, "x" * 300), (302, "y" * 127 + "x" * 200)]
+    seen, want = set(), {}
+    for i, t in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0)):
+        data = t.encode()
+        gone = np.zeros(len(data), bool)
+        for p in range(len(data) - 127):
+            window = data[p : p + 128]
+            if window in seen:
+                gone[p : p + 128] = True
+            seen.add(window)
+        turns = np.flatnonzero(np.diff(np.r_[0, gone, 0])).tolist()
+        spans = []
+        for a, b in zip(turns[::2], turns[1::2]):
+            while a < b and data[a] & 0xC0 == 0x80:
+                a += 1
+            while a < b < len(data) and data[b] & 0xC0 == 0x80:
+                b -= 1
+            spans += [f"{a}:{b}"] if a < b else []
+        want[i] = ",".join(spans)
+    rows = {r.doc_id: r for r in substring.substring_dedup(documents(docs)).collect()}
+    assert {i: r.deleted_spans for i, r in rows.items()} == want
+    assert all(rows[100 + i].deleted_bytes >= len(p.encode()) for i, p in enumerate(passages))
+
+
 def brute_near(docs, percent=75):
     sets = [neardup.shingles(t) for _, t in docs]
     root = list(range(len(docs)))
