@@ -138,7 +138,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, **settings
 
     The rows are those with the smallest hash of the id, the same for every run; up to
     ``max_rows`` of each label. A label without a document, with a NULL, or given twice
-    with different values is not used. Only statistics and labels reach the driver.
+    with different values is not used; of documents that share an id, the least statistics
+    are. Only statistics and labels reach the driver, one row per id.
     """
     known = labels.filter("quality in (0, 1) and doc_id is not null").filter(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("_other")).filter("y = _other")
@@ -153,7 +154,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, **settings
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "x": list(statistics_of(batch["text"]))})
 
-    rows = sample.mapInPandas(measure, "doc_id long, y int, x array<double>").orderBy(F.xxhash64("doc_id"), "doc_id", "x").toPandas()
+    measured = sample.mapInPandas(measure, "doc_id long, y int, x array<double>")
+    rows = measured.groupBy("doc_id", "y").agg(F.min("x").alias("x")).orderBy(F.xxhash64("doc_id"), "doc_id").toPandas()
     x = np.stack(rows["x"]) if len(rows) else np.zeros((0, len(FEATURES)))
     return fit(x, rows["y"].to_numpy(np.float64), **settings)
 

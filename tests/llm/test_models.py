@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import base64
 import math
+import zlib
 from array import array
 
 import numpy as np
+import pandas as pd
 import public_tokenizers as P
 import pytest
 import tiktoken
@@ -99,3 +101,18 @@ def test_scores_of_edge_rows(spark, edge):
     labels = spark.createDataFrame([(7, 1), (11, 0), (11, 1), (99, 0), (None, 1), (8, None)], "doc_id long, quality int")
     rows = quality.score(edge, quality.train(edge, labels), "s")
     assert rows.columns == [*edge.columns, "s"] and all(0 <= r.s <= 1 for r in rows.collect())
+
+
+def test_repeated_ids_train_once(spark, documents, monkeypatch):
+    """One labelled id in most rows: the driver gets one row of it, the one with the least statistics."""
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 3 != 1][:6]
+    texts = [f"word {k} " * (k + 1) for k in range(300)]
+    docs = documents([(ids[0], t) for t in texts] + [(i, f"other text {i}") for i in ids[1:]])
+    labels = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: seen.append((x, y)))
+    quality.train(docs, labels)
+    (x, y), = seen
+    assert len(x) == len(y) == len(ids) and y.sum() == sum(i % 2 for i in ids)
+    least = min(quality.statistics_of(pd.Series(texts)).tolist())
+    assert any(np.allclose(row, least) for row in x)
