@@ -39,7 +39,7 @@ def test_key_functions(spark):
     ).collect()
     md5 = lambda text: hashlib.md5(text.encode()).hexdigest()
     assert rows[0].e == "1_a" and rows[1].e is None  # L16
-    assert rows[0].v == md5("1_a|2020-04-05 06:07:08") and rows[1].v == md5("|")
+    assert rows[0].v == md5("1_a|2020-04-05 06:07:08.000000") and rows[1].v == md5("|")
     assert rows[0].k == md5("1-a") and rows[1].k == md5("2-_dbt_utils_surrogate_key_null_")
     assert rows[0].d == "2020-04-05"  # L14
 
