@@ -102,6 +102,81 @@ SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_deleted,
 FROM l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.pos = g.pos GROUP BY l.doc_id
 """
 
+AUDIT = """
+WITH RECURSIVE words AS (
+  SELECT *, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), fails AS (
+  SELECT doc_id, coalesce(lang, '') AS part,
+    (CASE WHEN len(w) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+    || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS f
+  FROM words
+), marks AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), d AS (
+  SELECT part, f, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM fails LEFT JOIN marks USING (doc_id) GROUP BY part, f
+), orders AS (
+  SELECT '' AS o UNION ALL SELECT o || c FROM orders, unnest(string_split('ABCDE', '')) AS x(c) WHERE NOT contains(o, c) AND len(o) < 5
+), removal AS (
+  SELECT part, f, n, good, toxic, o, s.step, substr(o, s.step, 1) AS letter,
+    list_min(list_transform(string_split(f, ''), lambda c: CASE WHEN c = '' THEN 6 ELSE strpos(o, c) END)) AS first_fail
+  FROM d, orders, range(1, 6) AS s(step) WHERE len(o) = 5
+), counts AS (
+  SELECT part, o AS filter_order, step, letter, sum(CASE WHEN first_fail > step THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN first_fail = step THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN first_fail < step AND contains(f, letter) THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN f = letter THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN first_fail = step THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN first_fail = step THEN toxic ELSE 0 END) AS toxic_lost
+  FROM removal GROUP BY ALL
+)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM counts
+"""
+
+
+def codes(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    """Rounds unrolled: a codebook after each, and the assignments that lead to it."""
+    steps = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+cut AS MATERIALIZED (
+  SELECT id, vec_id, label, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] AS v FROM kept, range({parts}) AS r(p)
+),
+book0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v FROM cut QUALIFY e < {entries})"""]
+    for k in range(rounds + 1):
+        steps.append(f"""
+near{k} AS MATERIALIZED (
+  SELECT id, c.p, min((list_sum(list_transform(list_zip(c.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, e)) AS best
+  FROM cut c JOIN book{k} b USING (p) GROUP BY id, c.p
+)""")
+        if k < rounds:
+            steps.append(f"""
+sums{k} AS (
+  SELECT p, best[2] AS e, i, floor(sum(v[i]) / count(*))::BIGINT AS x
+  FROM near{k} JOIN cut USING (id, p), unnest(range(1, len(v) + 1)) AS u(i) GROUP BY p, best[2], i
+),
+book{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(any_value(m.v), any_value(b.v)) AS v
+  FROM book{k} b LEFT JOIN (SELECT p, e, list(x ORDER BY i) AS v FROM sums{k} GROUP BY p, e) m USING (p, e) GROUP BY p, e
+)""")
+    return f"""
+WITH {",".join(steps)},
+coded AS (
+  SELECT id, string_agg(lower(printf('%02x', best[2])), '' ORDER BY p) AS code, sum(best[1])::BIGINT AS error FROM near{rounds} GROUP BY id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM book{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk": TOPK, "op4_near_dedup": NEAR, "op6_line_dedup": LINES, "op8_exact_dedup": EXACT, "op10_sharding": sharded()}
+    return {"op1_topk": TOPK, "op4_near_dedup": NEAR, "op6_line_dedup": LINES, "op8_exact_dedup": EXACT, "op10_sharding": sharded(),
+            "op11_audit": AUDIT, "op13_codes": codes()}

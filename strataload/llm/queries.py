@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataload.llm import bpe, exactdup, linedup, neardup, packing, quality, secrets, sharding, substring, topk
+from strataload.llm import (
+    bpe, collisions, exactdup, filteraudit, linedup, neardup, packing, quality, secrets, sharding, substring, topk, vectorcode,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,9 +74,27 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    masks = filteraudit.document_masks(docs, labels, filteraudit.text_failures(F.col("text")))
+    return filteraudit.audit(masks, "ABCDE")
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    index = collisions.build_index(vectors, "vec_id", "embedding")
+    return collisions.search(index, vectors.filter("vec_id % 50 = 0"), "vec_id", "embedding", k=5)
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vectorcode.compress(table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(vectorcode.books_sha256(books)).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_topk, op2_packing, op3_quality, op4_near_dedup, op5_bpe, op6_line_dedup, op7_substring_dedup, op8_exact_dedup, op9_secrets, op10_sharding)
+    for f in (op1_topk, op2_packing, op3_quality, op4_near_dedup, op5_bpe, op6_line_dedup, op7_substring_dedup, op8_exact_dedup, op9_secrets, op10_sharding,
+              op11_audit, op12_neighbours, op13_codes)
 }
 
 
