@@ -36,7 +36,7 @@ from strataload.sources.scratch import settle
 
 FILE = "dim int, block int, n int, ids binary, vectors binary, places binary, rows binary"
 APART = 1000.0  # between two lines; a projection of a unit vector is far smaller
-STREAM = "dim int, block int, query_id long, v array<double>, n int, ids binary, vectors binary, places binary, rows binary"
+STREAM = "dim int, block int, part int, query_id long, v array<double>, n int, ids binary, vectors binary, places binary, rows binary"
 
 
 @dataclass(frozen=True)
@@ -174,13 +174,19 @@ def sure_ratio(lines: int, need: int, miss: float) -> float:
     return low
 
 
-def search(index: Index, queries: DataFrame, id_col: str, vector_col: str, k: int = 5) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest found for each query, by cosine."""
+def search(index: Index, queries: DataFrame, id_col: str, vector_col: str, k: int = 5, queries_per_part: int = 65536) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest found for each query, by cosine.
+
+    ``queries_per_part`` bounds the queries that stream past one copy of a block, and so a task's time.
+    """
     rows = queries.select(F.col(id_col).cast("long").alias("query_id"), F.transform(vector_col, lambda x: x.cast("double")).alias("v"))
     rows = rows.filter(F.col("query_id").isNotNull() & usable(F.col("v"))).groupBy("query_id").agg(F.min("v").alias("v"))
-    blocks = F.explode(F.sequence(F.lit(0), F.lit(index.blocks - 1))).alias("block")
-    asked = rows.select(F.size("v").alias("dim"), blocks, "query_id", "v")
-    stream = asked.unionByName(index.files, allowMissingColumns=True).select(*[c.split()[0] for c in STREAM.split(", ")])
+    rows = settle(rows, "queries")
+    parts = -(-rows.count() // queries_per_part) or 1
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    part = F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int").alias("part")
+    asked = rows.select(F.size("v").alias("dim"), part, "query_id", "v", every(index.blocks).alias("block"))
+    stream = asked.unionByName(index.files.withColumn("part", every(parts)), allowMissingColumns=True).select(*[c.split()[0] for c in STREAM.split(", ")])
     settings = index.settings
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,13 +195,14 @@ def search(index: Index, queries: DataFrame, id_col: str, vector_col: str, k: in
             out = []
             for row in batch.itertuples(index=False):
                 if row.ids is not None:
-                    here = (row.dim, row.block)
+                    here = (row.dim, row.block, row.part)
                     block = Block(row.dim, int(row.n), row.ids, row.vectors, row.places, row.rows, settings)
-                elif here == (row.dim, row.block):
+                elif here == (row.dim, row.block, row.part):
                     out += block.search(int(row.query_id), np.asarray(row.v), k)
             yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
-    dealt = stream.repartition(index.blocks, "dim", "block").sortWithinPartitions("dim", "block", F.col("n").asc_nulls_last())
+    key = ("dim", "block", "part")
+    dealt = stream.repartition(index.blocks * parts, *key).sortWithinPartitions(*key, F.col("n").asc_nulls_last())
     found = dealt.mapInPandas(answer, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -122,9 +122,10 @@ def test_neighbours_of_edge_rows(spark):
     rows += [(7, rows[0][1], 1), (7, rows[0][1], 1), (50, rows[1][1], 1), (8, [x * 1e200 for x in rows[0][1]], 1), (9, [x * 1e-300 for x in rows[0][1]], 1)]
     rows += [(1000, None, 1), (1050, [0.0] * 4, 1), (1100, [None] * 4, 1), (1150, [math.nan] * 4, 1), (None, rows[0][1], 1), (1200, [], 1), (1250, [1.0], 1), (1300, [-2.0], 1)]
     want = brute_neighbours([r[:2] for r in rows], 5)
-    for block in (1000, 6):
+    for block, part in ((1000, 1000), (6, 2)):
         index = collisions.build_index(frame(spark, rows), "vec_id", "embedding", rows_per_block=block)
-        got = by_query(collisions.search(index, frame(spark, rows).filter("vec_id % 50 = 0"), "vec_id", "embedding").collect())
+        asked = frame(spark, rows).filter("vec_id % 50 = 0")
+        got = by_query(collisions.search(index, asked, "vec_id", "embedding", queries_per_part=part).collect())
         assert got.keys() == want.keys()
         for q in want:
             assert np.allclose([s for s, _ in got[q]], [s for s, _ in want[q]], rtol=0, atol=1e-12)
