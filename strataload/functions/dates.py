@@ -34,8 +34,3 @@ def micros_text(when: Column) -> Column:
     """Zone-free timestamp with all six digits of its fraction."""
     fraction = F.rpad(F.substring(when.cast("string"), 21, 6), 6, "0")
     return F.concat(seconds_text(when), F.lit("."), fraction)
-
-
-def whole_number(value: Column) -> Column:
-    """Integer cast that rounds; a bare Spark cast would cut."""
-    return F.round(value).cast("int")

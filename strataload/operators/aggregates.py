@@ -19,10 +19,13 @@ def latest_month(fact: DataFrame, loaddate: datetime) -> DataFrame:
     """
     newest = fact.agg(F.max("accountingdate")).scalar()
     # No date is newer, so a lower bound is enough, and unlike a month it reaches the scan.
-    in_month = F.col("accountingdate") >= month_of(newest) * 100
+    return month_totals(fact.where(F.col("accountingdate") >= month_of(newest) * 100), loaddate)
+
+
+def month_totals(fact: DataFrame, loaddate: datetime) -> DataFrame:
+    """Amount by accounting month and policy."""
     rows = (
-        fact.where(in_month)
-        .groupBy(month_of("accountingdate").alias("month_id"), "policy_id")
+        fact.groupBy(month_of("accountingdate").alias("month_id"), "policy_id")
         .agg(F.sum("amount").cast(MONEY_SUM).alias("metric"))
         .withColumns({"agg_id": F.col("month_id"), "loaddate": stamp(loaddate)})
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataload.functions import LoadRange, entity_id, surrogate_key
-from strataload.operators.lookup import lookup, point_in_time_lookup
+from strataload.operators.lookup import History, lookup, owner_lookups, with_slices
 from strataload.operators.skew import SkewPolicy
 from strataload.schemas import (
     DRIVER, FACT_POLICYTRANSACTION, UNKNOWN_ID, UNKNOWN_KEY, VEHICLE, stamp, typed,
@@ -28,14 +28,17 @@ def build_fact(
     load: LoadRange,
     loaddate: datetime,
     policy: SkewPolicy = SkewPolicy(),
+    largest: dict[str, int | None] | None = None,
 ) -> DataFrame:
     """One fact row per staged row of the range, with the key of every dimension.
 
-    Facts keep the version key that held when they were loaded (L26). Dimensions
-    that are small in practice come first, so that their joins, broadcast once
-    measured, add no shuffle; the dimensions that grow with the business follow.
+    Facts keep the version key that held when they were loaded (L26). Dimensions that are small in
+    practice come first, so that their joins, broadcast once measured, add no shuffle. Policy,
+    driver and vehicle follow, which grow with the business: their keys all begin with the policy,
+    so the facts are shuffled by it once for all three. ``largest`` is what the stored histories
+    know of their largest policies. ``stg`` should be a stored table.
     """
-    rows = load.rows(stg).select(*FACT_INPUTS)
+    rows, slices = with_slices(load.rows(stg).select(*FACT_INPUTS), "policy_uniqueid", policy)
     rows = lookup(
         rows, dims["dim_transaction"], {"transactioncd": "transactioncd"}, "transaction_id", UNKNOWN_ID, small=True
     )
@@ -48,14 +51,14 @@ def build_fact(
         rows, dims["dim_coverage"], {"coveragecd": "coveragecd", "subline": "subline", "asl": "asl"},
         "coverage_id", UNKNOWN_KEY,
     )
-    rows = lookup(rows, dims["dim_policy"], {"policy_uniqueid": "policy_uniqueid"}, "policy_id", UNKNOWN_ID)
-    rows = point_in_time_lookup(
-        rows, dims["dim_driver"], DRIVER, entity_id("policy_uniqueid", "riskcd2"), F.col("drv_effectivedate"),
-        policy=policy,
-    )
-    rows = point_in_time_lookup(
-        rows, dims["dim_vehicle"], VEHICLE, entity_id("policy_uniqueid", "riskcd1"), F.col("veh_effectivedate"),
-        policy=policy,
+    largest = largest or {}
+    rows = owner_lookups(
+        rows, "policy_uniqueid", {"policy_id": (dims["dim_policy"], "policy_uniqueid", UNKNOWN_ID)},
+        [
+            History(dims["dim_driver"], DRIVER, entity_id("policy_uniqueid", "riskcd2"), F.col("drv_effectivedate"), largest.get("dim_driver")),
+            History(dims["dim_vehicle"], VEHICLE, entity_id("policy_uniqueid", "riskcd1"), F.col("veh_effectivedate"), largest.get("dim_vehicle")),
+        ],
+        slices, policy,
     )
     rows = rows.withColumns({
         "policytransaction_id": surrogate_key("transactiondate"),

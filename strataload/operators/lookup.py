@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, replace
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -101,3 +103,117 @@ def versions_at(probes: DataFrame, versions: DataFrame, policy: SkewPolicy) -> D
     rows = line.carried(line.place(marks), F.col("_version"), "_last")
     hit = (F.col("_kind") == 1) & (F.col("_when") < F.col("_last.end"))
     return line.done(rows).where(hit).select("_entity", "_when", F.col("_last.key").alias(_FOUND))
+
+
+_OWNER, _SLICE = "_owner", "_slice"
+
+
+def with_slices(facts: DataFrame, owner: str, policy: SkewPolicy = SkewPolicy()) -> tuple[DataFrame, DataFrame | None]:
+    """Facts with a slice number, 0 but for owners of more than ``rows_per_group`` facts, and those owners' slices.
+
+    A hot owner's facts are dealt over as many slices as they need, by their position in the
+    input, so ``facts`` must be read straight from a stored table. None stands for no hot owner.
+    """
+    if facts.count() <= policy.rows_per_group:
+        return facts, None
+    hot = hot_keys(facts, owner, policy.rows_per_group)
+    if hot.isEmpty():
+        return facts, None
+    slices = hot.select(F.col("_hot").alias(_OWNER), F.ceil(F.col("n") / policy.rows_per_group).cast("long").alias("_slices"))
+    # One row per owner of more than rows_per_group facts: at most rows / rows_per_group.
+    dealt = facts.join(F.broadcast(slices), F.col(owner).eqNullSafe(F.col(_OWNER)), "left").drop(_OWNER)
+    position = F.pmod(F.monotonically_increasing_id(), F.coalesce("_slices", F.lit(1)))
+    return dealt.withColumn(_SLICE, position).drop("_slices"), slices
+
+
+def _sliced(side: DataFrame, slices: DataFrame | None) -> DataFrame:
+    """Rows of hot owners once for each of their slices, others in slice 0."""
+    if slices is None:
+        return side
+    slices = slices.withColumnRenamed(_OWNER, "_hot_owner")
+    met = side.join(F.broadcast(slices), F.col(_OWNER).eqNullSafe(F.col("_hot_owner")), "left")
+    every = F.sequence(F.lit(0).cast("long"), F.coalesce("_slices", F.lit(1).cast("long")) - 1)
+    return met.withColumn(_SLICE, F.explode(every)).drop("_hot_owner", "_slices")
+
+
+def _by_owner(facts: DataFrame, side: DataFrame, owner: str, slices: DataFrame | None) -> DataFrame:
+    """Left join on owner and slice; all such joins share one exchange and one sort of the facts."""
+    if slices is None:
+        return facts.join(side, F.col(owner) == F.col(_OWNER), "left").drop(_OWNER)
+    side = side.withColumnRenamed(_SLICE, "_their_slice")
+    met = (F.col(owner) == F.col(_OWNER)) & (F.col(_SLICE) == F.col("_their_slice"))
+    return facts.join(side, met, "left").drop(_OWNER, "_their_slice")
+
+
+@dataclass(frozen=True)
+class History:
+    """One point-in-time lookup of a fact: which versions, for which entity, at which time."""
+
+    dim: DataFrame
+    spec: Scd2Spec
+    entity: Column
+    at: Column
+    largest: int | None = None  # most versions of one owner, where the table's pointer knows it
+
+
+def owner_lookups(
+    facts: DataFrame,
+    owner: str,
+    plain: dict[str, tuple[DataFrame, str, Any]],
+    histories: list[History],
+    slices: DataFrame | None = None,
+    policy: SkewPolicy = SkewPolicy(),
+) -> DataFrame:
+    """All lookups whose keys begin with one and the same owner, in one shuffle of the facts.
+
+    ``plain`` maps a new column to (dimension, its owner column, default): one row per owner. Each history is first
+    gathered to one row per owner, the list of its entities' versions, so that every join has the
+    owner alone as its key. A fact takes, among its entity's versions in the list that have begun, the one that
+    began last, if it has not ended (as ``point_in_time_lookup``). Owners of more than ``versions_per_probe`` versions
+    would make long lists; they alone are looked up by entity instead, and their lists are never made.
+    """
+    crowded = _crowded(histories, policy)
+    if crowded is None:
+        return _listed_lookups(facts, owner, plain, histories, slices)
+    mark = lambda df, key: df.join(crowded, F.col(key).eqNullSafe(F.col("_crowd")), "left")
+    is_crowded = F.col("_crowd").isNotNull()
+    facts = mark(facts, owner)
+    rest = [replace(h, dim=mark(h.dim.withColumn(_OWNER, h.spec.owner()), _OWNER).where(~is_crowded).drop("_crowd", _OWNER)) for h in histories]
+    done = _listed_lookups(facts.where(~is_crowded).drop("_crowd"), owner, plain, rest, slices)
+    others = _listed_lookups(facts.where(is_crowded).drop("_crowd"), owner, plain, [], slices)
+    for h in histories:
+        others = point_in_time_lookup(others, h.dim, h.spec, h.entity, h.at, policy=policy)
+    return done.unionByName(others.select(*done.columns))
+
+
+def _crowded(histories: list[History], policy: SkewPolicy) -> DataFrame | None:
+    """Owners with more than ``versions_per_probe`` versions in any history, None if there are none."""
+    found = []
+    for h in histories:
+        if h.largest is not None and h.largest <= policy.versions_per_probe:
+            continue
+        versions = h.dim.select(h.spec.owner().alias(_OWNER)).where(F.col(_OWNER).isNotNull())
+        found.append(hot_keys(versions, _OWNER, policy.versions_per_probe).select(F.col("_hot").alias("_crowd")))
+    if not found:
+        return None
+    owners = settle(reduce(DataFrame.unionByName, found).distinct(), "crowded")
+    return None if owners.isEmpty() else owners
+
+
+def _listed_lookups(
+    facts: DataFrame, owner: str, plain: dict[str, tuple[DataFrame, str, Any]], histories: list[History], slices: DataFrame | None
+) -> DataFrame:
+    for name, (dim, key, default) in plain.items():
+        side = _sliced(dim.select(F.col(key).alias(_OWNER), F.col(name).alias(_FOUND)), slices)
+        facts = _by_owner(facts, side, owner, slices).withColumn(name, F.coalesce(_FOUND, F.lit(default))).drop(_FOUND)
+    keys = [_OWNER] if slices is None else [_OWNER, _SLICE]
+    for h in histories:
+        version = F.struct(F.col(FROM).alias("a"), F.col(TO).alias("b"), F.col(h.spec.key).alias("key"), F.col(h.spec.entity).alias("entity"))
+        versions = h.dim.where(F.col(FROM) < F.col(TO)).select(h.spec.owner().alias(_OWNER), version.alias("_version"))
+        lists = _sliced(versions.where(F.col(_OWNER).isNotNull()), slices).groupBy(*keys).agg(F.collect_list("_version").alias("_versions"))
+        facts = _by_owner(facts.withColumns({_PROBE: h.entity, "_at": h.at}), lists, owner, slices)
+        begun = F.filter("_versions", lambda v: (v["entity"] == F.col(_PROBE)) & (v["a"] <= F.col("_at")))
+        facts = facts.withColumn(_FOUND, F.array_max(begun))
+        key = F.when(F.col("_at") < F.col(f"{_FOUND}.b"), F.col(f"{_FOUND}.key"))
+        facts = facts.withColumn(h.spec.key, F.coalesce(key, F.lit(UNKNOWN_KEY))).drop(_FOUND, "_versions", _PROBE, "_at")
+    return facts

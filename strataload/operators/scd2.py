@@ -20,10 +20,10 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataload.operators.skew import SkewPolicy, profile
+from strataload.operators.skew import PIECE, SkewPolicy, profile
 from strataload.operators.timeline import Timeline
 from strataload.schemas import NO_PREDECESSOR, OPEN_END, STAMP, Scd2Spec, stamp
 
@@ -116,6 +116,53 @@ def close_intervals(
     return line.done(closed).select(*dim.columns).unionByName(untouched.select(*dim.columns))
 
 
+def _scanned_in_pieces(rows: DataFrame, spec: Scd2Spec, line: Timeline, null_mode: str) -> DataFrame:
+    """Kept rows with the start of the next kept row and whether their entity changes, for hot entities too.
+
+    A segmented scan. Within a piece of a hot entity everything is known but for its first row,
+    which needs the last row of the piece before. So each piece gives one edge row: its first and
+    last row, and, of the others, the first start that is kept and whether a new one is. The scan over these few
+    rows settles the first rows and what follows the last ones, and one join brings it back.
+    """
+    is_new = F.col(_NEW) == 1
+    own = F.struct(*spec.tracked)
+    rows = rows.withColumns({
+        "_lag": F.lag(F.struct(own.alias("row"))).over(line.window()), "_tracked": own,
+    }).withColumns({_BEFORE: F.col("_lag.row"), "_head": F.col("_lag").isNull()})
+    # A first row is judged by the scan, or, where no piece comes before, right here.
+    kept = ~is_new | is_change(spec.tracked, null_mode=null_mode)
+    inner = ~F.col("_head") & kept
+    edges = line.edges(
+        rows, _last=line.last_of(F.struct(F.col("_tracked").alias("row"))),
+        _first=line.first_of(F.struct(F.col("_tracked").alias("row"), F.col(_NEW).alias("new"), F.col(FROM).alias("start"))),
+        _rest_start=F.min(F.when(inner, F.col(FROM))), _rest_new=F.max((inner & is_new).cast("int")),
+    )
+    along = line.along()
+    edges = edges.withColumn(_BEFORE, F.lag("_last").over(along)["row"])
+    # The first row's values beside those before it, under the names that the comparison uses.
+    firsts = edges.withColumns({c: F.col(f"_first.row.{c}") for c in spec.tracked})
+    first_kept = (F.col("_first.new") == 0) | is_change(spec.tracked, null_mode=null_mode)
+    firsts = firsts.withColumn("_first_kept", first_kept).withColumns({
+        "_start": F.coalesce(F.when(F.col("_first_kept"), F.col("_first.start")), F.col("_rest_start")),
+        "_any": F.greatest(F.coalesce("_rest_new", F.lit(0)), (F.col("_first_kept") & (F.col("_first.new") == 1)).cast("int")),
+    })
+    onward = along.rowsBetween(1, Window.unboundedFollowing)
+    found = firsts.select(
+        line.entity, PIECE, "_first_kept",
+        F.first("_start", ignorenulls=True).over(onward).alias("_next_start"),
+        (F.max("_any").over(Window.partitionBy(line.entity)) == 1).alias("_any_new"),
+    )
+    rows = line.meet(rows, found)
+    kept = F.when(F.col("_head") & F.col("_first_kept").isNotNull(), F.col("_first_kept")).otherwise(kept)
+    rows = rows.where(kept)
+    group = Window.partitionBy(line.entity, PIECE)
+    rows = rows.withColumns({
+        _AFTER: F.coalesce(F.lead(FROM).over(line.window()), F.col("_next_start")),
+        _AFFECTED: F.coalesce("_any_new", F.max(F.col(_NEW)).over(group) == 1),
+    })
+    return rows.drop("_lag", "_tracked", "_head", "_first_kept", "_next_start", "_any_new", _BEFORE)
+
+
 def load_scd2(
     dim: DataFrame,
     staged: DataFrame,
@@ -142,9 +189,13 @@ def load_scd2(
 
     rows = _rows_in_time(touched, staged, spec, loaddate)
     line = _timeline(rows, spec, policy, dim.count() + arrived)
-    rows = _with_changes(line.place(rows), spec, line, null_mode)
-    rows = line.following(rows, [FROM], _AFTER)
-    rows = line.anywhere(rows, F.col(_NEW) == 1, _AFFECTED)
-    ended = F.coalesce(F.col(f"{_AFTER}.{FROM}"), open_end())
+    if line.cuts is None:
+        rows = _with_changes(rows, spec, line, null_mode)
+        rows = line.following(rows, [FROM], _AFTER)
+        rows = line.anywhere(rows, F.col(_NEW) == 1, _AFFECTED)
+        rows = rows.withColumn(_AFTER, F.col(f"{_AFTER}.{FROM}"))
+    else:
+        rows = _scanned_in_pieces(line.place(rows), spec, line, null_mode)
+    ended = F.coalesce(F.col(_AFTER), open_end())
     merged = line.done(rows).withColumn(TO, F.when(F.col(_AFFECTED), ended).otherwise(F.col(TO)))
     return merged.select(*dim.columns).unionByName(untouched.select(*dim.columns))

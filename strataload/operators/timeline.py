@@ -83,10 +83,30 @@ class Timeline:
             .groupBy(self.entity, PIECE).agg(edge.alias(_EDGE))
             .select(self.entity, PIECE, pick(_EDGE, ignorenulls=True).over(reach).alias(_EDGE))
         )
-        # One row per piece; adaptive execution broadcasts them if they are small.
+        return self.meet(df, edges).withColumn(out, F.coalesce(out, _EDGE)).drop(_EDGE)
+
+    def edges(self, df: DataFrame, **values: Column) -> DataFrame:
+        """Of each piece of a hot entity the given aggregates, in one pass; one row per piece."""
+        return df.where(F.col(PIECE).isNotNull()).groupBy(self.entity, PIECE).agg(*[v.alias(n) for n, v in values.items()])
+
+    def along(self) -> WindowSpec:
+        """The pieces of an entity in time order, for a scan over its edge rows."""
+        return Window.partitionBy(self.entity).orderBy(PIECE)
+
+    def first_of(self, value: Column) -> Column:
+        """Aggregate: the value in the earliest row."""
+        return F.min_by(value, self._rank())
+
+    def last_of(self, value: Column) -> Column:
+        """Aggregate: the value in the latest row."""
+        return F.max_by(value, self._rank())
+
+    def meet(self, df: DataFrame, edges: DataFrame) -> DataFrame:
+        """Rows with what a scan over the edge rows found for their piece; NULL for other entities."""
         edges = edges.withColumnsRenamed({self.entity: _OF, PIECE: _AT})
         met = F.col(self.entity).eqNullSafe(F.col(_OF)) & (F.col(PIECE) == F.col(_AT))
-        return df.join(edges, met, "left").withColumn(out, F.coalesce(out, _EDGE)).drop(_EDGE, _OF, _AT)
+        # One row per piece; adaptive execution broadcasts them if they are small.
+        return df.join(edges, met, "left").drop(_OF, _AT)
 
     def previous(self, df: DataFrame, columns: list[str], out: str) -> DataFrame:
         """``out``: struct of ``columns`` of the row before, NULL if there is none."""

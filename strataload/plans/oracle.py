@@ -185,6 +185,14 @@ CTES: dict[str, str] = {
       '' AS entity, '' AS event_type, TIMESTAMP '{L0}' AS loaddate WHERE false""",
     **_scd2("event1", "event0", "ev_new", "event_key", ["event_type"], L1),
     **_scd2("event2", "event1_dim", "ev_old", "event_key", ["event_type"], L2),
+    "kind_new": """SELECT CAST(event_id AS VARCHAR) AS event_key, ts AS chg, event_type AS entity, CAST(user_id AS VARCHAR) AS user_key
+      FROM events WHERE ts >= TIMESTAMP '2024-01-16'""",
+    "kind_old": """SELECT CAST(event_id AS VARCHAR) AS event_key, ts AS chg, event_type AS entity, CAST(user_id AS VARCHAR) AS user_key
+      FROM events WHERE ts < TIMESTAMP '2024-01-16'""",
+    "kind0": f"""SELECT '' AS event_key, TIMESTAMP '1900-01-01' AS valid_fromdate, TIMESTAMP '1900-01-01' AS valid_todate,
+      '' AS entity, '' AS user_key, TIMESTAMP '{L0}' AS loaddate WHERE false""",
+    **_scd2("kind1", "kind0", "kind_new", "event_key", ["user_key"], L1),
+    **_scd2("kind2", "kind1_dim", "kind_old", "event_key", ["user_key"], L2),
     "policy0": f"""SELECT CAST(0 AS BIGINT) AS policy_id, CAST(0 AS BIGINT) AS policy_uniqueid,
       'Unknown' AS policynumber, DATE '1900-01-01' AS effectivedate, DATE '2900-01-01' AS expirationdate,
       DATE '1900-01-01' AS inceptiondate, '~' AS policystate, '~' AS carriercd, '~' AS companycd,
@@ -326,6 +334,27 @@ SELECTS: dict[str, str] = {
     "scd2_backdated": f"""SELECT event_key, strftime(valid_fromdate, '%Y-%m-%d %H:%M:%S.%f') AS valid_fromdate,
         strftime(valid_todate, '%Y-%m-%d %H:%M:%S.%f') AS valid_todate, entity AS user_key, event_type,
         {_text('loaddate')} FROM event2_dim""",
+    "scd2_incremental_hot": f"""SELECT event_key, strftime(valid_fromdate, '%Y-%m-%d %H:%M:%S.%f') AS valid_fromdate,
+        strftime(valid_todate, '%Y-%m-%d %H:%M:%S.%f') AS valid_todate, entity AS kind, user_key,
+        {_text('loaddate')} FROM kind2_dim""",
+    "point_in_time_hot": """SELECT coalesce(v.event_key, 'Unknown') AS event_key, count(*) AS n_rows,
+        CAST(sum(e.event_id) AS BIGINT) AS sum_event_ids FROM events e
+        LEFT JOIN kind2_dim v ON e.event_type = v.entity AND e.ts >= v.valid_fromdate AND e.ts < v.valid_todate GROUP BY 1""",
+    "scd2_bucketed": _dim_rows("vehicle2_dim", "vehicle_id", "vehicle_uniqueid", _V),
+    "zone_map": f"""SELECT transactiondate // 100 AS part, count(*) AS n_rows, count(*) FILTER (WHERE load = newest) AS n_newest,
+        {_text('min(load)', 'min_loaddate')}, {_text('max(load)', 'max_loaddate')},
+        min(accountingdate) AS min_accountingdate, max(accountingdate) AS max_accountingdate
+        FROM (SELECT *, max(load) OVER (PARTITION BY transactiondate // 100) AS newest FROM (
+          SELECT *, CASE WHEN {FIRST} THEN TIMESTAMP '{L1}' ELSE TIMESTAMP '{L2}' END AS load FROM stg)) GROUP BY 1""",
+    "zone_latest_month": """SELECT policy_uniqueid, count(*) AS n_rows, CAST(sum(amount) AS DOUBLE) AS amount FROM stg
+        WHERE accountingdate // 100 = (SELECT max(accountingdate) // 100 FROM stg) GROUP BY 1""",
+    "observed_load_summary": _summary({"dim_coverage": "coverage2", "dim_vehicle": "vehicle2_dim"}) + f""" UNION ALL
+        SELECT 'movements', count(*) FILTER (WHERE {SECOND}), '{L2}', count(*), '{L2}' FROM stg""",
+    "oplog_folded": f"""SELECT {_text('startdate')}, operation, {_text('max(enddate)', 'enddate')} FROM ops
+        GROUP BY ops.startdate, operation""",
+    "stage_csv_load_once": f"SELECT {_FILES} FROM stg",
+    "seed_from_csv": """SELECT n_nationkey, n_name, count(c_custkey) AS n_customers FROM nation
+        LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2""",
     "lookup_single_key": """SELECT coalesce(t.transaction_id, 0) AS transaction_id, coalesce(p.policy_id, 0) AS policy_id,
         count(*) AS n_rows, CAST(sum(s.amount) AS DOUBLE) AS amount FROM stg s
         LEFT JOIN types t ON s.transactioncd = t.transactioncd

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import cache, reduce
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ from strataload.operators.skew import SkewPolicy
 from strataload.operators.staging import stage_driver, stage_vehicle
 from strataload.operators.timeline import Timeline
 from strataload.operators.upsert import sync_all_columns, upsert_by_key
-from strataload.plans.cycle import LoadContext, clear_warehouse, run_load_cycle
+from strataload.plans.cycle import LoadContext, clear_warehouse, load_dimension, run_load_cycle
 from strataload.plans.parallel import side_by_side
 from strataload.schemas import (
     BLANK, DRIVER, MONEY, ORCHESTRATION_HISTORY, STAMP, STG_PT, TABLES, UNKNOWN_ID, UNKNOWN_KEY,
@@ -39,7 +39,7 @@ from strataload.sources.fixtures import (
     BATCH_1, BATCH_2, DRIVER_INPUTS, POLICY_INPUTS, VEHICLE_INPUTS, WHOLE, staging, table,
 )
 from strataload.sources.scratch import fresh_path, settle
-from strataload.sources.staged_csv import export_range, load_staged, read_staged
+from strataload.sources.staged_csv import export_range, load_staged, load_staged_once, read_loaded, read_staged
 from strataload.sources.store import Store
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,6 +76,19 @@ def counted(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(F.count("*").alias("n_rows"), F.sum("amount").cast("double").alias("amount"))
 
 
+def once(method):
+    """Keep what a method returns for as long as its object lives."""
+    @wraps(method)
+    def kept(self, *args):
+        made = self.__dict__.setdefault("_made", {})
+        key = (method.__name__, *args)
+        if key not in made:
+            made[key] = method(self, *args)
+        return made[key]
+
+    return kept
+
+
 class State:
     """Tables as they stand after the batches, each built once and only when asked for.
 
@@ -85,11 +98,11 @@ class State:
     def __init__(self, spark: SparkSession, sf_dir: str, null_mode: str = "reference"):
         self.spark, self.sf_dir, self.null_mode = spark, sf_dir, null_mode
 
-    @cache
+    @once
     def stg(self, *columns: str) -> DataFrame:
         return staging(self.spark, self.sf_dir, list(columns) or None)
 
-    @cache
+    @once
     def stored_stg(self) -> DataFrame:
         return settle(self.stg(*dict.fromkeys([*FACT_INPUTS, *VEHICLE_INPUTS, *DRIVER_INPUTS, *POLICY_INPUTS])), "stg")
 
@@ -98,15 +111,15 @@ class State:
 
     share_stg = False
 
-    @cache
+    @once
     def staged_vehicle(self, load: LoadRange) -> DataFrame:
         return settle(stage_vehicle(self._inputs(VEHICLE_INPUTS), load), "stg_vehicle")
 
-    @cache
+    @once
     def staged_driver(self, load: LoadRange) -> DataFrame:
         return settle(stage_driver(self._inputs(DRIVER_INPUTS), load), "stg_driver")
 
-    @cache
+    @once
     def dim(self, name: str, batch: int) -> DataFrame:
         """Dimension ``name`` after ``batch`` loads, the first of which finds the unknown member."""
         if batch == 0:
@@ -131,25 +144,25 @@ class State:
             after = before.unionByName(dims.dim_deductible(before, stg, load, at))
         return settle(after, name)
 
-    @cache
+    @once
     def all_dims(self, batch: int) -> dict[str, DataFrame]:
         """All dimensions, loaded side by side from one staging table."""
         self.share_stg = True
         self.stored_stg()
         return side_by_side(self.spark, lambda name: self.dim(name, batch), UNKNOWN_MEMBERS)
 
-    @cache
+    @once
     def fact(self, batch: int) -> DataFrame:
         """Fact rows of one batch, looked up in the dimensions as that load left them."""
         load, at = ((BATCH_1, L1), (BATCH_2, L2))[batch - 1]
         found = {**self.all_dims(batch), "dim_transaction": seeds.transaction_types(self.spark)}
         return settle(build_fact(self.stored_stg(), found, load, at), "fact")
 
-    @cache
+    @once
     def facts(self) -> DataFrame:
         return self.fact(1).unionByName(self.fact(2))
 
-    @cache
+    @once
     def agg(self) -> DataFrame:
         first = aggregates.latest_month(self.fact(1), L1)
         return settle(aggregates.refresh_latest_month(first, self.facts(), L2), "agg")
@@ -161,13 +174,14 @@ class State:
 @query
 def incremental_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["transactiondate", "policy_uniqueid", "transactionsequence", "amount"]
-    return shown(BATCH_2.rows(staging(spark, sf_dir, columns)))
+    return shown(BATCH_2.rows(staging(spark, sf_dir, columns, BATCH_2)))
 
 
 @query
 def full_load_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["transactiondate", "policy_uniqueid", "transactionsequence", "amount"]
-    return shown(LoadRange(high=19970102, initial=True).rows(staging(spark, sf_dir, columns)))
+    load = LoadRange(high=19970102, initial=True)
+    return shown(load.rows(staging(spark, sf_dir, columns, load)))
 
 
 @query
@@ -314,6 +328,97 @@ def scd2_backdated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(rows.withColumn("loaddate", seconds_text(F.col("loaddate"))), micros_text)
 
 
+# Event types as entities, each with a third or so of all rows, cut into pieces of few rows.
+HOT_EVENT = Scd2Spec(key="event_key", entity="kind", change="at", tracked=("user_key",))
+HOT_POLICY = SkewPolicy(rows_per_group=150, versions_per_probe=64)
+
+
+def hot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newer half of the events first, then the older half, by event type."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("event_key"), F.col("event_type").alias("kind"),
+        F.col("ts").alias("at"), F.col("user_id").cast("string").alias("user_key"),
+    )
+    events, middle = settle(events, "events"), F.lit("2024-01-16").cast(STAMP)
+    layout = T.StructType([
+        T.StructField("event_key", T.StringType()), T.StructField("valid_fromdate", STAMP),
+        T.StructField("valid_todate", STAMP), T.StructField("kind", T.StringType()),
+        T.StructField("user_key", T.StringType()), T.StructField("loaddate", STAMP),
+    ])
+    newer, older = events.where(F.col("at") >= middle), events.where(F.col("at") < middle)
+    first = settle(load_scd2(empty(spark, layout), newer, HOT_EVENT, L1, policy=HOT_POLICY), "history")
+    return load_scd2(first, older, HOT_EVENT, L2, policy=HOT_POLICY)
+
+
+@query
+def scd2_incremental_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history of five entities that are all hot, so both loads take the segmented scan."""
+    rows = hot_history(spark, sf_dir)
+    return shown(rows.withColumn("loaddate", seconds_text(F.col("loaddate"))), micros_text)
+
+
+@query
+def point_in_time_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by the version of their type that was in force, over hot entities of very many versions."""
+    facts = table(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    history = settle(hot_history(spark, sf_dir), "history")
+    rows = point_in_time_lookup(facts, history, HOT_EVENT, F.col("event_type"), F.col("ts"), policy=HOT_POLICY)
+    return rows.groupBy("event_key").agg(F.count("*").alias("n_rows"), F.sum("event_id").alias("sum_event_ids"))
+
+
+MOVEMENTS = T.StructType([STG_PT[c] for c in ("transactiondate", "accountingdate", "policy_uniqueid", "amount")] + [T.StructField("loaddate", STAMP)])
+
+
+def history_store(spark: SparkSession, sf_dir: str) -> Store:
+    """A store after both batches of vehicles and coverages and of a dated table, loaded as a cycle loads them."""
+    store = Store(spark, fresh_path(spark, "store"), grain="month", dated={"movements": ("loaddate", "accountingdate")})
+    columns = dict.fromkeys([*VEHICLE_INPUTS, *_COVERAGE, "accountingdate", "amount"])
+    stg = settle(staging(spark, sf_dir, list(columns)), "stg")
+    for name in ("dim_vehicle", "dim_coverage"):
+        store.write_small(name, unknown_member(spark, name, L0))
+    for load, at in ((BATCH_1, L1), (BATCH_2, L2)):
+        for name in ("dim_vehicle", "dim_coverage"):
+            load_dimension(store, name, stg, load, LoadContext(at, at))
+        moved = load.rows(stg).select("transactiondate", "accountingdate", "policy_uniqueid", "amount", stamp(at).alias("loaddate"))
+        store.replace_range("movements", moved, load, at)
+    return store
+
+
+@query
+def scd2_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both batches of vehicles stored in buckets, of which a load rewrites those that it touches."""
+    return shown(history_store(spark, sf_dir).read("dim_vehicle"))
+
+
+@query
+def zone_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the pointer of a dated table knows of each month."""
+    store = history_store(spark, sf_dir)
+    names = ["part", "n_rows", "n_newest", "min_loaddate", "max_loaddate", "min_accountingdate", "max_accountingdate"]
+    return shown(store.read("movements.parts").select(*names))
+
+
+@query
+def zone_latest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amount by policy in the newest accounting month, from the parts that can hold it."""
+    store = history_store(spark, sf_dir)
+    month = store.newest("movements", "accountingdate") // 100 * 100
+    rows = store.read_zone("movements", "accountingdate", month, layout=MOVEMENTS)
+    return counted(rows, "policy_uniqueid")
+
+
+@query
+def observed_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The load summary of three tables from what was counted while they were written."""
+    store = history_store(spark, sf_dir)
+    seen = {
+        "dim_coverage": store.metrics["dim_coverage"], "dim_vehicle": store.load_figures("dim_vehicle", L2),
+        "movements": store.load_figures("movements", L2),
+    }
+    figures = {name: (m.n_on_load, m.n_rows, m.newest_load) for name, m in seen.items()}
+    return shown(control.load_summary(figures, spark, L2))
+
+
 # --- dimensions -------------------------------------------------------------
 
 for _name in ("dim_policy", "dim_coverage", "dim_deductible", "dim_limit"):
@@ -412,11 +517,11 @@ def reconcile_staging_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def fact_reload_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both batches stored, the second one twice; the first and second share a month."""
-    store = Store(spark, fresh_path(spark, "reload"), grain="month")
+    store = Store(spark, fresh_path(spark, "reload"), grain="month", dated={"reload": ()})
     stg = staging(spark, sf_dir, ["transactiondate", "amount", "transactionsequence"])
     for load in (BATCH_1, BATCH_2, BATCH_2):
         store.replace_range("reload", load.rows(stg), load)
-    return counted(spark.read.parquet(store.path("reload")), "transactiondate")
+    return counted(store.read_parts("reload", layout=stg.schema), "transactiondate")
 
 
 QUERIES["agg_latest_month"] = lambda spark, sf_dir: shown(State(spark, sf_dir).agg())
@@ -510,6 +615,14 @@ def orchestration_close(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["oplog_open"] = lambda spark, sf_dir: shown(
     control.oplog_open(operation_log(spark, sf_dir), ["load_scd2: dim_vehicle"], OP_TIME)
 )
+@query
+def oplog_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A start event of every operation and an end event of those that ended, folded to one row each."""
+    log = operation_log(spark, sf_dir)
+    started = log.withColumn("enddate", F.lit(None).cast(STAMP))
+    return shown(control.fold_operations(started.unionByName(log.where("enddate IS NOT NULL"))))
+
+
 QUERIES["oplog_close"] = lambda spark, sf_dir: shown(
     control.oplog_close(operation_log(spark, sf_dir), ["click"], OP_TIME)
 )
@@ -579,6 +692,28 @@ def stage_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.read.schema(_FILE_LAYOUT).parquet(staged).select(*_FILE_COLUMNS))
 
 
+@query
+def stage_csv_load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both batches exported, everything staged after each, and a third time with nothing new."""
+    root = fresh_path(spark, "staging")
+    source = staging(spark, sf_dir, _FILE_COLUMNS)
+    for load in (BATCH_1, BATCH_2, None):
+        if load:
+            export_range(source, load, f"{root}/export/{load.low}-{load.high}")
+        load_staged_once(spark, f"{root}/export/*", _FILE_LAYOUT, f"{root}/stg_pt")
+    return shown(read_loaded(spark, _FILE_LAYOUT, f"{root}/stg_pt"))
+
+
+@query
+def seed_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A seed file made of the nations, read with its types, with the customers of each."""
+    path = fresh_path(spark, "seed")
+    table(spark, sf_dir, "nation").select("n_nationkey", "n_name").coalesce(1).write.option("header", True).csv(path)
+    seed = seeds.read_seed(spark, path, T.StructType([T.StructField("n_nationkey", T.LongType()), T.StructField("n_name", T.StringType())]))
+    per_nation = table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("n_customers"))
+    return seed.join(per_nation, "n_nationkey", "left").fillna({"n_customers": 0})
+
+
 @query
 def full_refresh_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A loaded dimension rebuilt: the unknown member and the rows of exactly one date."""

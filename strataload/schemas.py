@@ -246,6 +246,10 @@ class Scd2Spec:
     change: str
     tracked: tuple[str, ...]
 
+    def owner(self) -> Column:
+        """The policy that an entity belongs to: its id begins with that number. NULL for the unknown member."""
+        return F.substring_index(self.entity, "_", 1).try_cast("long")
+
 
 VEHICLE = Scd2Spec(
     key="vehicle_id",
@@ -260,6 +264,8 @@ DRIVER = Scd2Spec(
     tracked=("gendercd", "birthdate", "maritalstatuscd", "pointscharged"),
 )
 
+HISTORIES = {"dim_vehicle": VEHICLE, "dim_driver": DRIVER}
+
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """A typed table with no rows."""

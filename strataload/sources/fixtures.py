@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,13 +82,23 @@ _NEED_ORDER = {
 }
 
 
-def staging(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
-    """Staging rows, one per order line: the needed columns from only the needed tables.
+def _shipped_within(load: LoadRange) -> Column:
+    """The range on the stored time, which unlike a computed date reaches the scan."""
+    def midnight(yyyymmdd_value: int, plus: int) -> Column:
+        return F.lit(datetime.strptime(str(yyyymmdd_value), "%Y%m%d") + timedelta(days=plus)).cast("timestamp_ntz")
+
+    first = midnight(load.high, 0) if load.initial else midnight(load.low, 1)
+    return (F.col("l_shipdate") >= first) & (F.col("l_shipdate") < midnight(load.high, 1))
+
+
+def staging(spark: SparkSession, sf_dir: str, columns: list[str] | None = None, load: LoadRange | None = None) -> DataFrame:
+    """Staging rows, one per order line: the needed columns from only the needed tables, of one load if given.
 
     Every line has its order and its part, so leaving out a join loses no rows.
     """
     wanted = columns or STG_PT.names
-    rows = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+    lines = table(spark, sf_dir, "lineitem")
+    rows = spread(lines.where(_shipped_within(load)) if load else lines, "l_orderkey")
     if _NEED_ORDER & set(wanted):
         rows = rows.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
     if _NEED_PART & set(wanted):

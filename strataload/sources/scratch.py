@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +27,27 @@ def shared_root(spark: SparkSession) -> str:
     return named
 
 
+_SCOPE = "strataload.scratch"
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path below the shared folder that nothing has used before."""
-    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path below the shared folder, or the scope that is open, that nothing has used before."""
+    root = spark.sparkContext.getLocalProperty(_SCOPE) or shared_root(spark).rstrip("/")
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scope(spark: SparkSession, name: str = "scope") -> Iterator[None]:
+    """Everything settled inside, also by ``side_by_side``, is deleted at the end; frames on it must be used up by then."""
+    context = spark.sparkContext
+    before = context.getLocalProperty(_SCOPE)
+    own = fresh_path(spark, name)
+    context.setLocalProperty(_SCOPE, own)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(_SCOPE, before)
+        remove(spark, own)
 
 
 def settle(df: DataFrame, name: str = "step") -> DataFrame:
