@@ -2,7 +2,7 @@
 
 One first-order model describes random strings, the other ordinary identifiers. Both
 are counted from labelled samples of the corpus: values that the fixed patterns find,
-and words of letters beside them. A long token whose log-likelihood ratio exceeds a
+and all other words of the same alphabet. A long token whose log-likelihood ratio exceeds a
 bound is a secret too. Everything is built-in functions on the text in its row: nothing
 is shuffled but the character pairs of the bounded samples.
 """
@@ -22,11 +22,26 @@ BASE = {
     "hex": (r"[0-9a-f]{24,}", 0, 24),
 }
 KINDS = [*BASE, "markov"]
-ALPHABET = string.ascii_letters + string.digits + "+/_-="
+ALPHABET = string.ascii_letters + string.digits  # what is modelled; other characters part words
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+def running(values: Column, merge) -> Column:
+    """For each element ``merge`` of all up to it, in log2(n) passes: each takes in what lies 1, 2, 4, ... places before.
+
+    Values are non-negative, and ``merge`` (a sum, a maximum) leaves a value alone that meets 0.
+    """
+    passes = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+
+    def further(merged: Column, k: Column) -> Column:
+        far = F.call_function("shiftleft", F.lit(1), k)
+        before = F.concat(F.array_repeat(F.lit(0), far), F.slice(merged, 1, F.size(merged) - far))
+        return F.zip_with(merged, before, merge)
+
+    return F.when(passes == 0, values).otherwise(F.aggregate(F.sequence(F.lit(0), passes - 1), values, further))
+
+
 def _spans(text: Column, kind: int, pattern: str, keep) -> Column:
     """Spans of the matches that ``keep(match, its value)`` holds for, in code points.
 
@@ -34,19 +49,16 @@ def _spans(text: Column, kind: int, pattern: str, keep) -> Column:
     """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(2)) if KINDS[kind] == "assign" else matches
-    steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("match"), values.alias("value"))
     # The last gap has no match behind it.
-    steps = F.filter(steps, lambda s: s["match"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("found"))
-
-    def step(state: Column, s: Column) -> Column:
-        begin = state["at"] + F.length(s["gap"])
-        end = begin + F.length(s["match"])
-        span = F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"))
-        found = F.when(keep(s["match"], s["value"]), F.concat(state["found"], F.array(span))).otherwise(state["found"])
-        return F.struct(end.alias("at"), found.alias("found"))
-
-    return F.aggregate(steps, start, step, lambda state: state["found"])
+    steps = F.filter(
+        F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("match"), values.alias("value")),
+        lambda s: s["match"].isNotNull(),
+    )
+    ends = running(F.transform(steps, lambda s: F.length(s["gap"]) + F.length(s["match"])), lambda x, y: x + y)
+    placed = F.zip_with(steps, ends, lambda s, end: F.struct(
+        (end - F.length(s["match"])).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), keep(s["match"], s["value"]).alias("keep"),
+    ))
+    return F.transform(F.filter(placed, lambda s: s["keep"]), lambda s: F.struct(s["start"], s["kind"], s["end"])).cast(SPAN)
 
 
 def base_spans(text: Column) -> list[Column]:
@@ -59,12 +71,17 @@ def base_spans(text: Column) -> list[Column]:
     return out
 
 
+def _characters(token: Column) -> Column:
+    """The token's characters as an array; one pass, however long it is."""
+    return F.split(token, "")
+
+
 def _pairs(tokens: DataFrame) -> dict[str, int]:
     """Counts of the character pairs of a column ``token``; at most the alphabet's square of rows."""
-    pairs = tokens.filter(F.length("token") > 1).select(F.explode(
-        F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring(F.col("token"), i, F.lit(2)))
-    ).alias("pair"))
-    return {r["pair"]: r["n"] for r in pairs.groupBy("pair").agg(F.count("*").alias("n")).collect()}
+    tokens = tokens.filter(F.length("token") > 1).withColumn("c", _characters(F.col("token")))
+    pairs = F.zip_with(F.slice("c", 1, F.size("c") - 1), F.slice("c", 2, F.size("c") - 1), lambda a, b: F.concat(a, b))
+    counts = tokens.select(F.explode(pairs).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    return {r["pair"]: r["n"] for r in counts.collect()}
 
 
 def log_ratios(random: dict[str, int], ordinary: dict[str, int]) -> list[float]:
@@ -78,13 +95,12 @@ def log_ratios(random: dict[str, int], ordinary: dict[str, int]) -> list[float]:
     return out
 
 
-def train(docs: DataFrame, sample_docs: int = 4_000) -> list[float]:
-    """The table of log-likelihood ratios from labelled samples.
+def samples(docs: DataFrame, sample_docs: int = 4_000) -> DataFrame:
+    """(token, is_random, held_out): labelled samples, of which every fourth document is held out.
 
-    Random strings: the values of base spans in the ``sample_docs`` documents with spans
-    that come first by the hash of their id and text. Ordinary identifiers: the words of
-    at least four letters in the first ``sample_docs`` documents, without base spans. With
-    no sample on one side that model is uniform.
+    Random strings: the values of base spans in the ``sample_docs`` documents with spans that come first by
+    the hash of their id and text. Ordinary ones: the words of the alphabet, digits and paths included, of
+    at least four characters in the first ``sample_docs`` documents, without base spans.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(text.alias("text"), F.xxhash64(F.col("doc_id"), text).alias("key"))
@@ -98,22 +114,45 @@ def train(docs: DataFrame, sample_docs: int = 4_000) -> list[float]:
         F.regexp_extract_all("text", F.lit(BASE["access"][0]), F.lit(0)),
         F.regexp_extract_all("text", F.lit(BASE["hex"][0]), F.lit(0)),
     )
-    random = secret.join(chosen(secret), "key").select(F.explode(values).alias("token")).filter(F.length("token") >= 12)
+    held_out = (F.pmod("key", F.lit(4)) == 0).alias("held_out")
+    random = secret.join(chosen(secret), "key").select(F.explode(values).alias("token"), F.lit(True).alias("is_random"), held_out)
     plain = F.regexp_replace("text", any_base, " ")
     words = keyed.join(chosen(keyed), "key").select(
-        F.explode(F.regexp_extract_all(plain, F.lit(r"[A-Za-z_]{4,}"), F.lit(0))).alias("token")
+        F.explode(F.regexp_extract_all(plain, F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("token"),
+        F.lit(False).alias("is_random"), held_out,
     )
-    return log_ratios(_pairs(random), _pairs(words))
+    return random.filter(F.length("token") >= 12).unionByName(words)
+
+
+def train(docs: DataFrame, sample_docs: int = 4_000) -> list[float]:
+    """The table of log-likelihood ratios, from the samples that are not held out; a side without any is uniform."""
+    known = samples(docs, sample_docs).filter("not held_out")
+    return log_ratios(_pairs(known.filter("is_random")), _pairs(known.filter("not is_random")))
+
+
+def judged(docs: DataFrame, table: list[float], least_ratio: float = 20.0, sample_docs: int = 4_000) -> dict[str, int]:
+    """Held-out tokens long enough for a Markov span, by whether they are random and whether the bound calls them so."""
+    long = samples(docs, sample_docs).filter(F.col("held_out") & F.col("token").rlike(f"^{CANDIDATE}$"))
+    called = ratio(F.col("token"), table) >= least_ratio
+    named = F.concat(F.when(called, "called_").otherwise("left_"), F.when(F.col("is_random"), "random").otherwise("ordinary"))
+    counts = {r["name"]: r["n"] for r in long.groupBy(named.alias("name")).agg(F.count("*").alias("n")).collect()}
+    return {name: counts.get(name, 0) for name in ("called_random", "left_random", "called_ordinary", "left_ordinary")}
 
 
 def ratio(token: Column, table: list[float]) -> Column:
-    """The log-likelihood ratio of a token of the alphabet."""
+    """The log-likelihood ratio of a token, in one pass over its characters.
+
+    Pairs with a character outside the alphabet say nothing: a path or a hyphenated name is as ordinary as its words.
+    """
     values, alphabet, n = F.lit(table), F.lit(ALPHABET), len(ALPHABET)
-    place = lambda i: F.position(F.substring(token, i, F.lit(1)), alphabet)
-    return F.aggregate(
-        F.sequence(F.lit(1), F.length(token) - 1), F.lit(0.0),
-        lambda total, i: total + F.get(values, (place(i) - 1) * n + place(i + 1) - 1),
-    )
+    start = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum"))
+
+    def step(state: Column, character: Column) -> Column:
+        place = F.position(character, alphabet) - 1
+        gain = F.when((state["last"] < 0) | (place < 0), F.lit(0.0)).otherwise(F.get(values, state["last"] * n + place))
+        return F.struct(place.alias("last"), (state["sum"] + gain).alias("sum"))
+
+    return F.aggregate(_characters(token), start, step, lambda state: state["sum"])
 
 
 def markov_spans(text: Column, table: list[float], least_ratio: float) -> Column:
@@ -122,7 +161,25 @@ def markov_spans(text: Column, table: list[float], least_ratio: float) -> Column
     return F.when(text.rlike(CANDIDATE), spans).otherwise(F.array().cast(SPAN))
 
 
-def find_secrets(docs: DataFrame, to: str, table: list[float] | None = None, least_ratio: float = 12.0) -> DataFrame:
+def apart_from(spans: Column, others: Column) -> Column:
+    """The spans that touch none of the others, by one sort and a running maximum.
+
+    In the order of their places, a span's end meets all other spans that begin before it; it
+    touches one if the furthest of their ends lies behind its start.
+    """
+    place = lambda at, other, reach, s: F.struct(
+        at.alias("at"), F.lit(other).alias("other"), reach.alias("reach"), s.alias("span")
+    )
+    events = F.array_sort(F.concat(
+        F.transform(spans, lambda s: place(s["end"], 0, F.lit(0), s)), F.transform(others, lambda s: place(s["start"], 1, s["end"], s)),
+    ))
+    reach = running(F.transform(events, lambda e: e["reach"]), lambda x, y: F.greatest(x, y))
+    marked = F.zip_with(events, reach, lambda e, r: F.struct(e["span"].alias("span"), ((e["other"] == 0) & (r <= e["span"]["start"])).alias("free")))
+    free = F.transform(F.filter(marked, lambda e: e["free"]), lambda e: e["span"])
+    return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(free)
+
+
+def find_secrets(docs: DataFrame, to: str, table: list[float] | None = None, least_ratio: float = 20.0) -> DataFrame:
     """``docs`` with all spans of every whole text, in column ``to``, by start and kind.
 
     ``table`` defaults to one trained on ``docs``. Markov spans that touch a base span are
@@ -132,9 +189,7 @@ def find_secrets(docs: DataFrame, to: str, table: list[float] | None = None, lea
     table = table or train(docs)
     base = F.concat(*base_spans(F.col("text")))
     rows = docs.withColumn(to, base)
-    markov = F.filter(markov_spans(F.col("text"), table, least_ratio), lambda m: ~F.exists(
-        F.col(to), lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])
-    ))
+    markov = apart_from(markov_spans(F.col("text"), table, least_ratio), F.col(to))
     return rows.withColumn(to, F.array_sort(F.concat(F.col(to), markov)))
 
 

@@ -7,12 +7,19 @@ an upper and a lower bound of every score. Exact vectors are then read in the or
 their upper bounds, until the k-th best exact score is above the next bound, so the
 block's k best are certain. The k best of a query's blocks are merged at last.
 
-Every block of queries meets every block of vectors once, as a stated query set must;
-no pair of rows leaves a task but each block's k best per query.
+Every block of queries meets every block of vectors once, as a stated query set must: a
+block's file comes first in its partition, is read once, and the queries' parts stream past it.
+No pair of rows leaves a task but each block's k best per query.
+
+Defined cases: every row of another id is a candidate, rows that repeat an id too. A repeated
+query id is searched once, with its smallest vector. Vectors whose scaled inner products could leave
+64 bits are refused with a ValueError.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -20,14 +27,18 @@ from pyspark.sql import functions as F
 
 from strataload.sources.scratch import settle
 
-LIMIT = 2**53  # larger integers than this are not exact as doubles; scaled components end here
+LIMIT = 2**53  # larger integers than this are not exact as doubles
 FILE = "dim int, block int, n int, ids binary, low binary, width binary, high binary, cells binary, exact binary"
 FOUND = "query_id long, vec_id long, score long"
 
 
 def scaled(vector: Column, scale: int = 64) -> Column:
     """Components as floor(scale * x) of x as double; NULL for a vector that takes no part."""
-    cells = F.transform(vector, lambda x: F.greatest(F.least(F.floor(x.cast("double") * scale), F.lit(LIMIT)), F.lit(-LIMIT)))
+    def cell(x: Column) -> Column:
+        moved = x.cast("double") * scale
+        return F.when(F.abs(moved) < LIMIT, F.floor(moved)).otherwise(F.raise_error(F.lit("a component is too large to be scaled exactly")).cast("long"))
+
+    cells = F.transform(vector, cell)
     bad = lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf"))
     return F.when(~F.exists(vector, bad), cells)
 
@@ -38,8 +49,7 @@ def _matrix(vectors: pd.Series, dim: int) -> np.ndarray:
 
 def _file(rows: pd.DataFrame, bits: int) -> pd.DataFrame:
     dim, block = int(rows["dim"][0]), int(rows["block"][0])
-    # Rows that repeat an id count once: the one with the smallest vector.
-    rows = rows.assign(_key=rows["v"].map(tuple)).sort_values(["vec_id", "_key"]).drop_duplicates("vec_id")
+    rows = rows.sort_values("vec_id", kind="stable")
     exact = _matrix(rows["v"], dim)
     low, high = exact.min(0), exact.max(0)
     width = (high - low) // 2**bits + 1
@@ -53,7 +63,8 @@ def build_files(vectors: DataFrame, vector_col: str, rows_per_block: int = 8192,
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), scaled(F.col(vector_col)).alias("v"))
     rows = rows.filter("vec_id is not null and v is not null").withColumn("dim", F.size("v"))
     blocks = -(-rows.count() // rows_per_block) or 1
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    # By id and vector, so that an id with very many rows is spread over blocks too.
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"))
     return settle(dealt.groupBy("dim", "block").applyInPandas(lambda x: _file(x, bits), FILE), "va-file"), blocks
 
 
@@ -70,7 +81,7 @@ def scan(low, width, high, cells, exact, ids, query_ids, queries, k: int):
         slack = 1e-9 * (np.abs(queries).astype(kind) @ np.maximum(np.abs(lo), np.abs(hi)).T) + 1
         upper, lower = upper + slack, lower - slack
     if largest >= 2**62:
-        exact, queries = exact.astype(object), queries.astype(object)
+        raise ValueError("inner products may leave 64 bits")
     own = query_ids[:, None] == ids[None, :]
     upper[own] = lower[own] = -np.inf
     certain = np.partition(lower, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(queries), -np.inf)
@@ -87,7 +98,7 @@ def scan(low, width, high, cells, exact, ids, query_ids, queries, k: int):
             best_ids = np.concatenate([best_ids, ids[read]])
             order = np.lexsort((best_ids, -best_scores))[:k]
             best_scores, best_ids = best_scores[order], best_ids[order]
-        out.extend((int(query_ids[q]), int(i), min(max(int(s), -(2**63)), 2**63 - 1)) for i, s in zip(best_ids, best_scores))
+        out.extend((int(query_ids[q]), int(i), int(s)) for i, s in zip(best_ids, best_scores))
     return out
 
 
@@ -112,24 +123,29 @@ def search(files: DataFrame, blocks: int, queries: DataFrame, vector_col: str, k
 
     packed = (
         rows.withColumn("part", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
-        .groupBy("dim", "part").applyInPandas(pack, "dim int, part int, query_ids binary, queries binary")
+        .groupBy("dim", "part").applyInPandas(pack, "dim int, part int, query_ids binary, queries binary").drop("part")
     )
-    met = packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(
-        files.hint("shuffle_hash"), ["dim", "block"]
-    )
-
-    def find(x: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for row in x.to_dict("records"):
-            dim = row["dim"]
-            read = lambda name, kind=np.int64, row=row: np.frombuffer(row[name], kind)
-            out += scan(
-                read("low"), read("width"), read("high"), read("cells", np.uint8).reshape(row["n"], dim),
-                read("exact").reshape(row["n"], dim), read("ids"), read("query_ids"),
-                read("queries").reshape(len(read("query_ids")), dim), k,
-            )
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
-
-    found = met.groupBy("dim", "block", "part").applyInPandas(find, FOUND)
+    asked = packed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    stream = asked.unionByName(files, allowMissingColumns=True)
+    dealt = stream.repartition(blocks, "dim", "block").sortWithinPartitions("dim", "block", F.col("n").asc_nulls_last())
+
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        here, file = None, None
+        for batch in batches:
+            out = []
+            for row in batch.to_dict("records"):
+                read = lambda name, kind=np.int64, row=row: np.frombuffer(row[name], kind)
+                if row["ids"] is not None:
+                    here, shape = (row["dim"], row["block"]), (int(row["n"]), row["dim"])
+                    file = (
+                        read("low"), read("width"), read("high"), read("cells", np.uint8).reshape(shape),
+                        read("exact").reshape(shape), read("ids"),
+                    )
+                elif here == (row["dim"], row["block"]):
+                    ids = read("query_ids")
+                    out += scan(*file, ids, read("queries").reshape(len(ids), row["dim"]), k)
+            yield pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+
+    found = dealt.mapInPandas(find, FOUND)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import random
+import re
 import string
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from cases import BASE, EDGE
+from pyspark.sql import functions as F
 from strataload.llm import exactdup, linedup, neardup, packing, secrets, sharding, substring
 
 LOW = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -184,6 +188,64 @@ def test_secrets(edge, documents):
     assert secrets.find_secrets(edge, "spans").count() == len(EDGE)
 
 
+def test_base_spans_equal_a_scan_of_every_text(spark):
+    """Every whole text of a corpus against the patterns, match by match."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = secrets.find_secrets(docs, "spans", table=[0.0] * len(secrets.ALPHABET) ** 2)
+    got = {r.doc_id: r.s for r in rows.select("doc_id", secrets.written(rows.spans).alias("s")).collect()}
+    hits = 0
+    for r in docs.collect():
+        found = []
+        for kind, (pattern, group, least) in secrets.BASE.items():
+            found += [(m.start(), kind, m.end()) for m in re.finditer(pattern, r.text or "", re.ASCII) if len(m.group(group)) >= least]
+        found.sort(key=lambda f: (f[0], list(secrets.BASE).index(f[1])))
+        hits += len(found)
+        assert got[r.doc_id] == ",".join(f"{k}:{a}:{b}" for a, k, b in found)
+    assert hits > 20
+
+
+def brute_ratio(token, table):
+    places = [secrets.ALPHABET.find(c) for c in token]
+    return sum(table[a * len(secrets.ALPHABET) + b] for a, b in zip(places, places[1:]) if a >= 0 and b >= 0)
+
+
+def test_markov_spans_by_brute_force(spark, documents):
+    rng = random.Random(9)
+    table = [rng.uniform(-3, 3) for _ in range(len(secrets.ALPHABET) ** 2)]
+    token = lambda: "".join(rng.choice("abcXYZ019abcXYZ019-/") for _ in range(rng.randint(10, 40)))
+    rows = [(i, " é ".join(rng.choice((token(), "token=" + token(), "0f" * 14, "AKIA" + "B" * 20)) for _ in range(12))) for i in range(40)]
+    got = secrets.find_secrets(documents(rows), "spans", table=table, least_ratio=2.0)
+    got = {r.doc_id: r.s for r in got.select("doc_id", secrets.written(F.filter("spans", lambda s: s["kind"] == len(secrets.BASE))).alias("s")).collect()}
+    kept = 0
+    for i, text in rows:
+        base = [(m.start(), m.end()) for p, g, least in secrets.BASE.values() for m in re.finditer(p, text, re.ASCII) if len(m.group(g)) >= least]
+        found = [m.span() for m in re.finditer(secrets.CANDIDATE, text) if brute_ratio(m.group(), table) >= 2.0]
+        found = [(a, b) for a, b in found if not any(x < b and a < y for x, y in base)]
+        kept += len(found)
+        assert got[i] == ",".join(f"markov:{a}:{b}" for a, b in found)
+    assert kept > 20
+
+
+def test_secrets_of_very_long_texts_take_linear_time(documents):
+    rng = random.Random(1)
+    token = "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(1_000_000))
+    many = " ".join(f"password=abc{i:06d}" for i in range(30_000))
+    began = time.time()
+    rows = secrets.find_secrets(documents([(1, f"x {token} y"), (2, many)]), "spans", table=[1.0] * len(secrets.ALPHABET) ** 2)
+    assert {r.doc_id: r.n for r in rows.select("doc_id", F.size("spans").alias("n")).collect()} == {1: 1, 2: 30_000}
+    assert time.time() - began < 60
+
+
+def test_random_and_ordinary_held_out_tokens(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    table = secrets.train(docs)
+    n = secrets.judged(docs, table)
+    assert n["called_random"] >= 0.95 * (n["called_random"] + n["left_random"]) > 30
+    assert n["called_ordinary"] <= 0.02 * (n["called_ordinary"] + n["left_ordinary"])
+    plain = ["1234567890123456", "https-example-com-page-12", "/usr/local/share/python/site-packages", "2024-01-01-backup-archive-0001"]
+    assert all(brute_ratio(t, table) < 20 for t in plain) and brute_ratio("aK3jf92LmQx81Zp0VtbW7", table) > 20
+
+
 def test_packing(spark, edge):
     import public_tokenizers
 

@@ -49,16 +49,15 @@ def test_encode_documents(edge):
 
 
 def brute_topk(rows, k):
-    good = {}
-    for i, v in rows:
-        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
-            continue
-        w = tuple(math.floor(64 * x) for x in v)
-        good[i] = min(good.get(i, w), w)
+    good = [
+        (i, tuple(math.floor(64 * x) for x in v)) for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = []
-    for q, a in good.items():
-        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in good.items() if i != q and len(b) == len(a))
-        out += [(q, r, i, -s) for r, (s, i) in enumerate(scores[:k], 1)] if q % 4 == 0 else []
+    for q in {i for i, _ in good if i % 4 == 0}:
+        a = min(v for i, v in good if i == q)
+        scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in good if i != q and len(b) == len(a))
+        out += [(q, r, i, -s) for r, (s, i) in enumerate(scores[:k], 1)]
     return sorted(out)
 
 
@@ -66,13 +65,21 @@ def brute_topk(rows, k):
 def test_topk_by_brute_force(spark, scale):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in np.round(rng.normal(0, scale, 6), 1)]) for i in range(120)]
-    rows += [(3, rows[3][1]), (200, None), (201, [None] * 6), (202, [float("nan")] * 6), (None, rows[0][1]), (204, [1.0]), (208, [2.0]), (212, [])]
+    rows += [(3, rows[3][1]), (1, [9.0 * x for x in rows[4][1]]), (5, [8.0 * x for x in rows[4][1]]), (4, [0.0] * 6), (200, None), (201, [None] * 6), (202, [float("nan")] * 6), (None, rows[0][1]), (204, [1.0]), (208, [2.0]), (212, [])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     files, blocks = topk.build_files(df, "embedding", rows_per_block=25, bits=3)
     got = topk.search(files, blocks, df.filter("vec_id % 4 = 0"), "embedding", k=5, queries_per_block=7)
     assert sorted(map(tuple, got.collect())) == brute_topk(rows, 5)
 
 
+def test_topk_refuses_what_is_not_exact(spark):
+    for size in (1e30, 1e10):
+        df = spark.createDataFrame([(1, [size] * 3), (4, [size] * 3)], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="too large|leave 64 bits"):
+            files, blocks = topk.build_files(df, "embedding")
+            topk.search(files, blocks, df.filter("vec_id = 4"), "embedding").collect()
+
+
 def test_topk_of_no_vectors(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     files, blocks = topk.build_files(df, "embedding")
