@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +29,7 @@ def shared_root(spark: SparkSession) -> str:
 
 
 _SCOPE = "strataload.scratch"
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -60,7 +62,16 @@ def settle(df: DataFrame, name: str = "step") -> DataFrame:
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    _PATHS[stored] = path
+    return stored
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete settled tables that nothing reads any more."""
+    for frame in frames:
+        if path := _PATHS.pop(frame, None):
+            remove(frame.sparkSession, path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -19,7 +19,7 @@ from strataload.plans.cycle import FACT, LoadContext, clear_warehouse, load_dime
 from strataload.schemas import (
     DIM_VEHICLE, DRIVER, FACT_POLICYTRANSACTION, ORCHESTRATION_HISTORY, STG_PT, STG_VEHICLE, VEHICLE, empty, unknown_member,
 )
-from strataload.sources.scratch import scope, settle, shared_root
+from strataload.sources.scratch import discard, scope, settle, shared_root
 from strataload.sources.staged_csv import export_range, load_staged_once, read_loaded, read_staged
 from strataload.sources.store import Store
 from test_cycle import ROWS, source_row
@@ -283,6 +283,13 @@ def test_scope_keeps_what_was_there(spark):
         inside.count()
 
 
+def test_discarded_tables_are_gone(spark):
+    gone = settle(spark.range(3))
+    files = gone.inputFiles()
+    discard(gone, spark.range(1))
+    assert files and not any(Path(f.removeprefix("file://").removeprefix("file:")).exists() for f in files)
+
+
 def test_hot_path_costs_at_most_twice_the_windows_and_sorts(spark):
     staged = settle(spark.createDataFrame(
         [(f"k{i}", datetime(2020, 1, 1 + i % 28, i // 28), "1_1" if i % 3 else f"{i}_1", f"v{i % 5}", "m", "y", "f", "0") for i in range(300)], STG_VEHICLE,
