@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataload.sources.scratch import settle
+from strataload.sources.scratch import discard, settle
 
 
 def _state(edges: DataFrame):
@@ -31,7 +31,8 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
-        edges = settle(small.filter("u > v").distinct(), "links")
+        old, edges = edges, settle(small.filter("u > v").distinct(), "links")
+        discard(old, large)
         after = _state(edges)
         if after == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

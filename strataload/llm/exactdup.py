@@ -71,22 +71,25 @@ def exact_groups(docs: DataFrame, salts: int = 64, digest=sha256) -> DataFrame:
 
 
 def exact_dedup(docs: DataFrame, salts: int = 64, digest=sha256) -> DataFrame:
-    """The rows that stay, one per distinct text, with all their columns."""
-    classes = text_classes(docs, salts, digest)
-    low = F.lit(-(2**63)).cast("long")
-    winners = classes.select(
-        F.col(_DIGEST).alias("_w_digest"), F.coalesce(F.col("keep_id"), low).alias("_w_id"), F.col(_NORM).alias("_w_norm")
-    )
-    norm = normalised(F.col("text"))
-    rows = docs.withColumns({_DIGEST: digest(norm), _ID: F.coalesce(F.col("doc_id"), low)})
-    # The id in the key spreads a frequent text over all tasks; only repeats of one id meet.
-    met = (F.col(_DIGEST) == F.col("_w_digest")) & (F.col(_ID) == F.col("_w_id"))
-    kept = rows.join(winners, met & F.col("_w_norm").isNull(), "left_semi")
-    once = Window.partitionBy(_DIGEST, _ID).orderBy(F.lit(0))
-    kept = kept.withColumn("_x_nth", F.row_number().over(once)).filter("_x_nth = 1")
-    shared = winners.filter(F.col("_w_norm").isNotNull())
-    if not shared.isEmpty():
-        own = rows.join(shared, met & (norm == F.col("_w_norm")), "left_semi")
-        own = own.withColumn("_x_nth", F.row_number().over(Window.partitionBy(_DIGEST, _ID, norm).orderBy(F.lit(0))))
-        kept = kept.unionByName(own.filter("_x_nth = 1"))
-    return kept.select(*docs.columns)
+    """The rows that stay, one per distinct text, with all their columns.
+
+    A row that no other shares its digest with stays as it is: its text travels at most once, to be told apart.
+    The others are combined as whole rows, inside each task, per (text, salt) and per text, by full contents
+    each time. Of equal texts the largest doc_id stays, NULL ranking lowest, and among rows that
+    repeat it the one whose columns hash highest.
+    """
+    named = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    row = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(named)])
+    field = lambda name: F.col(f"_x_row.c{docs.columns.index(name)}")
+    held = docs.select(digest(normalised(F.col("text"))).alias(_DIGEST), row.alias("_x_row"))
+    counts = docs.select(digest(normalised(F.col("text"))).alias(_DIGEST)).groupBy(_DIGEST).agg(F.count("*").alias("n"))
+    shared = settle(counts.filter("n > 1").select(_DIGEST), "shared-digests")
+    # Both joins read one and the same exchange of the rows, or none where the shared digests are few.
+    alone = held.join(shared, _DIGEST, "left_anti").select("_x_row")
+    doc_id = field("doc_id")
+    rank = F.struct(doc_id.isNotNull().alias("known"), doc_id.alias("id"), F.xxhash64("_x_row").alias("hash"))
+    met = held.join(shared, _DIGEST, "left_semi").withColumns({_NORM: normalised(field("text")), "_x_rank": rank})
+    best = [F.max_by("_x_row", "_x_rank").alias("_x_row"), F.max("_x_rank").alias("_x_rank")]
+    salted = met.groupBy(_DIGEST, _NORM, F.pmod(F.xxhash64("_x_rank"), F.lit(salts)).alias("_x_salt")).agg(*best)
+    winners = salted.groupBy(_DIGEST, _NORM).agg(*best).select("_x_row")
+    return alone.unionByName(winners).select(*[F.col(f"_x_row.c{i}").alias(c) for i, c in enumerate(docs.columns)])

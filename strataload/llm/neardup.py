@@ -2,13 +2,17 @@
 
 A document is its set of distinct word shingles; documents with equal sets form a class
 first. Each class has 64 minwise values. In each of several independent trees, a node's
-classes branch by the values at two of the 64 places; classes that agree on a value meet
-in the same child. A node with few pairs of classes that are not yet connected
-compares all of these. Another one compares all with a few of its classes and branches on,
-unless all its classes are connected by then: a large group of near copies is so joined
-in work linear in its size.
-Two sets of similarity J part in a branch with a chance of (1 - J)**2 and in all of six
-trees with about its sixth power, below one in a million for J >= 0.75 at any usual depth.
+classes branch by the values at some of the 64 places, two at the root of each tree and then one or, every third time, two:
+4/3 in expectation, so that pairs below 0.75 meet ever less often from level to level while pairs
+above it do not. Classes that agree on a value meet in the same child. A node with few pairs of classes that are
+not yet connected compares all of these. Another one compares all with a few of its classes and branches
+on without these, unless the rest is connected by then: a large group of near copies is so
+joined in work linear in its size, and the few classes beside it are soon used up.
+
+Two sets of similarity 0.75 miss each other at all 16 root places with a chance of 2e-10. A pair that is
+together at the root and never compared with a pivot is still together after k levels by the odds of
+a branching process of mean one: over all trees it is lost with a chance of 7e-7, 3e-5, 4e-4 and 6e-3 for
+k = 1, 2, 4 and 8 at exactly 0.75, and of 2e-8, 8e-7, 2e-5 and 5e-4 at 0.8.
 
 Pairs that meet are compared by one byte of each minwise value, then confirmed on the
 shingles of both whole texts. Only links between different sets are looked for, and only
@@ -27,9 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataload.llm.components import components
-from strataload.sources.scratch import settle
+from strataload.sources.scratch import discard, settle
 
 PLACES = 64
+BROADCAST_REPS = 200_000
 _draw = np.random.default_rng(20240229)
 _BYTE = _draw.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -150,26 +155,29 @@ class Join:
     def __init__(self, docs: DataFrame, rows: DataFrame, width: int, percent: int, trees: int, node_size: int, pivots: int, levels: int):
         self.docs, self.percent, self.trees, self.node_size, self.pivots, self.levels = docs, percent, trees, node_size, pivots, levels
         self.confirmed = confirmer(width, percent)
-        # 64 matches at percent/100 of them, less six standard deviations.
+        # 64 matches at percent/100 of them, less four standard deviations.
         share = percent / 100
-        self.least = int(PLACES * share - 6 * (PLACES * share * (1 - share)) ** 0.5)
+        self.least = int(PLACES * share - 4 * (PLACES * share * (1 - share)) ** 0.5)
         classes = rows.filter("n > 0").groupBy("id").agg(
             F.min(F.struct("doc_id", "_hash")).alias("rep"), F.first("n").alias("n"), F.first("values").alias("values")
         )
         self.classes = settle(classes.withColumn("sketch", sketch("values")), "classes")
         self.labels: DataFrame | None = None
+        self.tried: DataFrame | None = None
 
     def branch(self, rows: DataFrame, level: int) -> DataFrame:
-        """Children of (node, tree, path, values, id): two for each, by the values at two places."""
+        """Children of (node, tree, path, values, id): one or two for each, by the values at places that the path draws."""
 
         def child(k: int):
             place = (
                 F.col("tree") * 2 + k if level == 0 else F.pmod(F.xxhash64("tree", "path", F.lit(k)), F.lit(PLACES)).cast("int")
             )
             value = F.element_at("values", (place + 1).cast("int"))
-            return F.struct(F.xxhash64("node", place, value).alias("node"), (F.col("path") * 2 + k).alias("path"))
+            return F.struct(F.xxhash64("node", place, value).alias("node"), F.xxhash64("path", F.lit(k)).alias("path"))
 
-        rows = rows.withColumn("child", F.explode(F.array(child(0), child(1))))
+        both, one = F.array(child(0), child(1)), F.array(child(0))
+        two = F.pmod(F.xxhash64("tree", "path", F.lit(2)), F.lit(3)) == 0
+        rows = rows.withColumn("child", F.explode(both if level == 0 else F.when(two, both).otherwise(one)))
         return rows.select(F.col("child.node").alias("node"), "tree", F.col("child.path").alias("path"), "id")
 
     def labelled(self, rows: DataFrame) -> DataFrame:
@@ -199,42 +207,56 @@ class Join:
         for side in "ab":
             near = near.join(sketches.select(*[F.col(c).alias(f"{c}_{side}") for c in sketches.columns]), F.col(side) == F.col(f"id_{side}"))
         sizes = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
-        near = settle(near.filter(sizes).filter(agreeing("sketch_a", "sketch_b") >= self.least).select("a", "b"), "near")
+        near = near.filter(sizes).filter(agreeing("sketch_a", "sketch_b") >= self.least).select("a", "b")
+        if self.tried is not None:  # a pair that met before, in another node, has its answer
+            near = near.join(self.tried, ["a", "b"], "left_anti")
+        near = settle(near, "near")
+        self.tried = near if self.tried is None else self.tried.unionByName(near)
         needed = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
         reps = self.classes.select("id", F.col("rep.doc_id").alias("_r"), F.col("rep._hash").alias("_h")).join(needed, "id", "left_semi")
         text = F.coalesce(F.col("text"), F.lit(""))
         found = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("_hash"), text.alias("text"))
+        if reps.count() <= BROADCAST_REPS:  # of a few bytes each
+            reps = F.broadcast(reps)
         texts = reps.join(found, F.col("_r").eqNullSafe(F.col("doc_id")) & (F.col("_h") == F.col("_hash"))).select("id", "text")
         texts = settle(texts, "texts")
         for side in "ab":
             near = near.join(texts.select(F.col("id").alias(f"id_{side}"), F.col("text").alias(f"text_{side}")), F.col(side) == F.col(f"id_{side}"))
         links = settle(near.filter(self.confirmed("text_a", "text_b")).select("a", "b").distinct(), "links")
+        discard(texts)
         if links.isEmpty():
             return
         if self.labels is not None:
             links = links.unionByName(self.labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        self.labels = components(links, "a", "b")
+        found = components(links, "a", "b")
+        discard(links)
+        self.labels = found
 
     def run(self) -> DataFrame | None:
         """(node, root) for the classes that are linked; None if none is."""
         tree = F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))).alias("tree")
         roots = self.classes.select("id", "values", tree).withColumns({"path": F.lit(1).cast("long"), "node": F.col("tree").cast("long")})
-        rows = self.branch(roots, 0)
+        rows, before = self.branch(roots, 0), None
         for level in range(1, self.levels + 1):
             rows = self.meeting(self.labelled(rows))
+            if before is not None:
+                discard(before)
+            before = rows
             large = ~F.col("small") if level < self.levels else F.lit(False)
             # All pairs of different labels have a side outside the main label; few classes are outside.
             one = rows.filter(~large).filter("label <> main").select("node", F.col("id").alias("a"), F.col("label").alias("label_a"))
             two = rows.filter(~large).select("node", F.col("id").alias("b"), F.col("label").alias("label_b"))
-            met = one.join(two, "node").filter("label_a <> label_b")
-            small = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            pairs = one.join(two, "node").filter("label_a <> label_b")
+            small = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             # Some classes outside the main label, the smallest of each part by hash, meet all of a large node.
             slot = F.pmod(F.xxhash64("id"), F.lit(self.pivots))
             pivots = rows.filter(large & F.expr("label <> main")).groupBy("node", slot).agg(F.min(F.struct("id", "label")).alias("pivot"))
             star = rows.filter(large).select("node", "id", "label").join(pivots.select("node", "pivot"), "node")
             star = star.filter("label <> pivot.label").select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
             self.link(small.unionByName(star))
-            rows = rows.filter(large).select("node", "tree", "path", "id")
+            # A pivot has met all of its node and need not go further down.
+            met = pivots.select("node", F.col("pivot.id").alias("id"))
+            rows = rows.filter(large).select("node", "tree", "path", "id").join(met, ["node", "id"], "left_anti")
             if level == self.levels or rows.isEmpty():
                 break
             open_ = self.labelled(rows).groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
@@ -243,8 +265,8 @@ class Join:
 
 
 def near_groups(
-    docs: DataFrame, width: int = 5, percent: int = 75, trees: int = 6, node_size: int = 32, pivots: int = 6,
-    levels: int = 8,
+    docs: DataFrame, width: int = 5, percent: int = 75, trees: int = 8, node_size: int = 16, pivots: int = 8,
+    levels: int = 16,
 ) -> DataFrame:
     """For every row: doc_id, _hash, n_shingles, component_id, kept, first (whether this row is its group's first).
 
