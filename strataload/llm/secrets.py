@@ -27,19 +27,26 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def running(values: Column, merge) -> Column:
     """For each element ``merge`` of all up to it, in log2(n) passes: each takes in what lies 1, 2, 4, ... places before.
 
     Values are non-negative, and ``merge`` (a sum, a maximum) leaves a value alone that meets 0.
     """
-    passes = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
-
     def further(merged: Column, k: Column) -> Column:
         far = F.call_function("shiftleft", F.lit(1), k)
         before = F.concat(F.array_repeat(F.lit(0), far), F.slice(merged, 1, F.size(merged) - far))
         return F.zip_with(merged, before, merge)
 
-    return F.when(passes == 0, values).otherwise(F.aggregate(F.sequence(F.lit(0), passes - 1), values, further))
+    def all_passes(values: Column) -> Column:
+        passes = F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int")
+        return F.when(passes == 0, values).otherwise(F.aggregate(F.sequence(F.lit(0), passes - 1), values, further))
+
+    return let(values, all_passes)
 
 
 def _spans(text: Column, kind: int, pattern: str, keep) -> Column:
@@ -54,10 +61,14 @@ def _spans(text: Column, kind: int, pattern: str, keep) -> Column:
         F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("match"), values.alias("value")),
         lambda s: s["match"].isNotNull(),
     )
-    ends = running(F.transform(steps, lambda s: F.length(s["gap"]) + F.length(s["match"])), lambda x, y: x + y)
-    placed = F.zip_with(steps, ends, lambda s, end: F.struct(
-        (end - F.length(s["match"])).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), keep(s["match"], s["value"]).alias("keep"),
-    ))
+
+    def placed_steps(steps: Column) -> Column:
+        ends = running(F.transform(steps, lambda s: F.length(s["gap"]) + F.length(s["match"])), lambda x, y: x + y)
+        return F.zip_with(steps, ends, lambda s, end: F.struct(
+            (end - F.length(s["match"])).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), keep(s["match"], s["value"]).alias("keep"),
+        ))
+
+    placed = let(steps, placed_steps)
     return F.transform(F.filter(placed, lambda s: s["keep"]), lambda s: F.struct(s["start"], s["kind"], s["end"])).cast(SPAN)
 
 
@@ -170,13 +181,19 @@ def apart_from(spans: Column, others: Column) -> Column:
     place = lambda at, other, reach, s: F.struct(
         at.alias("at"), F.lit(other).alias("other"), reach.alias("reach"), s.alias("span")
     )
-    events = F.array_sort(F.concat(
-        F.transform(spans, lambda s: place(s["end"], 0, F.lit(0), s)), F.transform(others, lambda s: place(s["start"], 1, s["end"], s)),
-    ))
-    reach = running(F.transform(events, lambda e: e["reach"]), lambda x, y: F.greatest(x, y))
-    marked = F.zip_with(events, reach, lambda e, r: F.struct(e["span"].alias("span"), ((e["other"] == 0) & (r <= e["span"]["start"])).alias("free")))
-    free = F.transform(F.filter(marked, lambda e: e["free"]), lambda e: e["span"])
-    return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(free)
+
+    def marked(events: Column) -> Column:
+        reach = running(F.transform(events, lambda e: e["reach"]), lambda x, y: F.greatest(x, y))
+        return F.zip_with(events, reach, lambda e, r: F.struct(e["span"].alias("span"), ((e["other"] == 0) & (r <= e["span"]["start"])).alias("free")))
+
+    def free(spans: Column) -> Column:
+        events = F.array_sort(F.concat(
+            F.transform(spans, lambda s: place(s["end"], 0, F.lit(0), s)), F.transform(others, lambda s: place(s["start"], 1, s["end"], s)),
+        ))
+        apart = F.transform(F.filter(let(events, marked), lambda e: e["free"]), lambda e: e["span"])
+        return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(apart)
+
+    return let(spans, free)
 
 
 def find_secrets(docs: DataFrame, to: str, table: list[float] | None = None, least_ratio: float = 20.0) -> DataFrame:
