@@ -129,6 +129,45 @@ def test_substring_dedup_by_brute_force(documents, words):
     assert all(rows[100 + i].deleted_bytes >= len(p.encode()) for i, p in enumerate(passages))
 
 
+def test_windows_decide_their_chunk():
+    """Equal windows hold equal chunks at equal places, whatever lies around them, and every window has one."""
+    rng = np.random.default_rng(1)
+    for least in (2, 3, 16, 31, 128):
+        for letters in (1, 2, 200):
+            core, known = rng.integers(0, letters, least + 40), {}
+            for _ in range(6):
+                around = [rng.integers(0, letters, rng.integers(0, 90)) for _ in range(2)]
+                text = np.concatenate([around[0], core, around[1]]).astype(np.uint8)
+                start, end, first, last = substring.chunks(text, least)
+                digests = substring.Digests(text).of(start, end)
+                assert first[0] == 0 and last[-1] == len(text) - least and (first[1:] == last[:-1] + 1).all()
+                for w in range(len(text) - least + 1):
+                    k = np.searchsorted(first, w, "right") - 1
+                    assert w <= start[k] and end[k] <= w + least
+                    assert known.setdefault(text[w : w + least].tobytes(), (start[k] - w, digests[k])) == (start[k] - w, digests[k])
+
+
+@pytest.mark.parametrize("least", [2, 5, 17])
+def test_short_repeated_spans_by_brute_force(documents, least):
+    rng = np.random.default_rng(least)
+    docs = [(i, "".join(rng.choice(list("abcé"), rng.integers(0, 40)))) for i in range(12)] + [(50, "a" * 30), (50, "a" * 30)]
+    seen, gone = set(), {}
+    for i, t in docs[:-1]:
+        data = t.encode()
+        gone[i] = np.zeros(len(data), bool)
+        for p in range(len(data) - least + 1):
+            if data[p : p + least] in seen:
+                gone[i][p : p + least] = True
+            seen.add(data[p : p + least])
+    rows = substring.substring_dedup(documents(docs), least).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        turns = np.flatnonzero(np.diff(np.r_[0, gone[r.doc_id], 0]))
+        data = np.frombuffer(dict(docs)[r.doc_id].encode(), np.uint8)
+        want = substring.deleted_spans(data, turns[::2], turns[1::2]) if len(turns) else []
+        assert r.deleted_spans == ",".join(f"{a}:{b}" for a, b in want)
+
+
 def brute_near(docs, percent=75):
     sets = [neardup.shingles(t) for _, t in docs]
     root = list(range(len(docs)))
