@@ -176,16 +176,23 @@ def _contents(docs: DataFrame, edges: DataFrame, min_run: int) -> DataFrame:
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for doc_id, key, text, starts in zip(batch["_id"].astype("Int64"), batch["_hash"], batch["_text"], batch["starts"]):
-                data = text.encode("utf-8", "replace")
-                whole = np.frombuffer(data, np.uint8)
-                start, end, first, last = chunks(whole, min_run)
-                which = np.searchsorted(first, np.unique(starts))
-                yield pd.DataFrame({
-                    "chunk": Digests(whole).of(start[which], end[which]), "_id": pd.array([doc_id] * len(which), "Int64"),
-                    "_hash": np.full(len(which), key, np.int64), "base": first[which].astype(np.int32), "at": start[which].astype(np.int32),
-                    "content": [data[a : b + min_run] for a, b in zip(first[which].tolist(), last[which].tolist())],
-                })
+            for part in range(0, len(batch), 256):  # rows of 256 texts at a time
+                some = batch.iloc[part : part + 256]
+                numbers, bases, places, counts, contents = [], [], [], [], []
+                for text, starts in zip(some["_text"], some["starts"]):
+                    data = text.encode("utf-8", "replace")
+                    whole = np.frombuffer(data, np.uint8)
+                    start, end, first, last = chunks(whole, min_run)
+                    which = np.searchsorted(first, np.unique(starts))
+                    numbers.append(Digests(whole).of(start[which], end[which]))
+                    bases.append(first[which])
+                    places.append(start[which])
+                    counts.append(len(which))
+                    contents += [data[a : b + min_run] for a, b in zip(first[which].tolist(), last[which].tolist())]
+                out = some[["_id", "_hash"]].astype({"_id": "Int64"}).iloc[np.repeat(np.arange(len(some)), counts)].reset_index(drop=True)
+                out["chunk"], out["content"] = np.concatenate(numbers), contents
+                out["base"], out["at"] = np.concatenate(bases).astype(np.int32), np.concatenate(places).astype(np.int32)
+                yield out[[c.split()[0] for c in CONTENTS.split(", ")]]
 
     texts = _with_text(docs, edges).filter("starts is not null")
     return texts.mapInPandas(read, CONTENTS).dropDuplicates([*_DOC, "base"])
