@@ -9,6 +9,9 @@ of the suffix array in which neighbours share that many lines: each member but t
 first begins a later copy. Runs of such beginnings add up to the maximal repeated runs,
 however long, so ranking by more lines could not change what is deleted.
 
+A repeated run of one line counts as well if that line holds ``min_words`` words: the ranks
+by one line tell these.
+
 Built-in functions only. A class, however frequent, is counted on the map side and met
 by an equi-join that adaptive execution splits.
 """
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from strataload.llm.sharding import number_rows
 from strataload.sources.scratch import settle
 
+WORD = r"[^\x20\x09-\x0D]+"
 _DOC = ["_id", "_hash"]  # the text's hash tells apart rows that share an id
 
 
@@ -37,31 +41,39 @@ def _ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(classes, keys).drop(*keys).withColumnRenamed("rank_", "rank")
 
 
-def repeated_windows(docs: DataFrame, min_lines: int) -> DataFrame:
-    """(_id, _hash, pos, first): every place where ``min_lines`` lines begin that occur more than once."""
+def later_copies(docs: DataFrame, min_lines: int, min_words: int | None = None) -> DataFrame:
+    """(_id, _hash, pos, end): lines that repeat earlier ones, ``min_lines`` at a time, or alone if they hold ``min_words`` words."""
     lines = _keyed(docs).select(*_DOC, F.posexplode(F.split("_text", "\n")).alias("pos", "line"))
-    rows = settle(_ranked(lines.select(*_DOC, "pos", F.unhex(F.md5("line")).alias("line")), ["line"]), "line-ranks")
+    words = F.size(F.regexp_extract_all("line", F.lit(WORD), F.lit(0)))
+    alone = F.lit(False) if min_words is None else words >= min_words
+    lines = lines.select(*_DOC, "pos", F.unhex(F.md5("line")).alias("line"), alone.alias("alone"))
+    rows = single = settle(_ranked(lines, ["line"]), "line-ranks")
     reach = 1
     while reach < min_lines:
         step = min(reach, min_lines - reach)  # the last step may overlap
         behind = Window.partitionBy(*_DOC).orderBy("pos").rangeBetween(step, step)
-        pairs = rows.drop("first").withColumn("behind", F.max("rank").over(behind)).filter("behind is not null")
+        pairs = rows.drop("first", "alone").withColumn("behind", F.max("rank").over(behind)).filter("behind is not null")
         rows = settle(_ranked(pairs, ["rank", "behind"]), "line-ranks")
         reach += step
-    return rows
+    is_later = ~F.struct(*_DOC, "pos").eqNullSafe(F.col("first"))
+    later = rows.filter(is_later).select(*_DOC, "pos", (F.col("pos") + min_lines - 1).alias("end"))
+    if min_words is None:
+        return later
+    return later.unionByName(single.filter(F.col("alone") & is_later).select(*_DOC, "pos", F.col("pos").alias("end")))
 
 
-def line_dedup(docs: DataFrame, min_lines: int = 2) -> DataFrame:
+def line_dedup(docs: DataFrame, min_lines: int = 2, min_words: int | None = None) -> DataFrame:
     """doc_id, n_lines, n_deleted and the remaining text of every row.
 
     A line goes if it lies in a run of at least ``min_lines`` lines of which an earlier
-    copy exists, earlier by (doc_id, place). Copies inside one text count, also when they
+    copy exists, earlier by (doc_id, place); with ``min_words``, also a line of that many words
+    of which an earlier copy exists, whatever stands around it. Copies inside one text count, also when they
     overlap. NULL text is one empty line, empty lines are lines like others, a NULL doc_id
     comes before all others; rows with equal doc_id and text are one document and share
     the result; an empty table gives no rows. Other columns are not read.
     """
-    later = repeated_windows(docs, min_lines).filter(~F.struct(*_DOC, "pos").eqNullSafe(F.col("first")))
-    gone = later.select(*_DOC, F.explode(F.sequence("pos", F.col("pos") + min_lines - 1)).alias("pos")).distinct()
+    later = later_copies(docs, min_lines, min_words)
+    gone = later.select(*_DOC, F.explode(F.sequence("pos", "end")).alias("pos")).distinct()
     gone = gone.groupBy(*_DOC).agg(F.array_sort(F.collect_list("pos")).alias("gone"))
     rows = _keyed(docs)
     same = rows["_id"].eqNullSafe(gone["_id"]) & (rows["_hash"] == gone["_hash"])

@@ -94,8 +94,12 @@ WITH l AS (
   SELECT doc_id, pos, line, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS next_line FROM l
 ), first AS (
   SELECT *, row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, pos) AS nth FROM w WHERE next_line IS NOT NULL
+), alone AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth
+  FROM l WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= 8
 ), gone AS (
   SELECT doc_id, pos FROM first WHERE nth > 1 UNION SELECT doc_id, pos + 1 FROM first WHERE nth > 1
+  UNION SELECT doc_id, pos FROM alone WHERE nth > 1
 )
 SELECT l.doc_id, count(*) AS n_lines, count(g.pos) AS n_deleted,
        coalesce(string_agg(l.line, chr(10) ORDER BY l.pos) FILTER (WHERE g.pos IS NULL), '') AS text

@@ -46,7 +46,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linedup.line_dedup(table(spark, sf_dir, "documents"), min_lines=2)
+    return linedup.line_dedup(table(spark, sf_dir, "documents"), min_lines=2, min_words=8)
 
 
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

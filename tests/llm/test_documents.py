@@ -82,6 +82,24 @@ def test_line_runs_by_brute_force(documents, least):
     assert got == {i: "\n".join(x for p, x in enumerate(t.split("\n")) if (i, p) not in gone) for i, t in docs}
 
 
+def test_single_lines_of_some_words_by_brute_force(documents):
+    rng = np.random.default_rng(8)
+    lines = ["a b c", "one two\tthree four", "\u00a0 x \u00a0 y z", "", "p q"]
+    docs = [(i, "\n".join(rng.choice(lines, rng.integers(0, 7)))) for i in range(25)]
+    pairs, single, gone = set(), set(), set()
+    for i, t in docs:
+        parts = t.split("\n")
+        for p, line in enumerate(parts):
+            if len(re.findall(r"[^\x20\x09-\x0D]+", line)) >= 4:
+                gone |= {(i, p)} if line in single else set()
+                single.add(line)
+            if p + 1 < len(parts):
+                gone |= {(i, p), (i, p + 1)} if (line, parts[p + 1]) in pairs else set()
+                pairs.add((line, parts[p + 1]))
+    got = {r.doc_id: r.text for r in linedup.line_dedup(documents(docs), 2, 4).collect()}
+    assert got == {i: "\n".join(x for p, x in enumerate(t.split("\n")) if (i, p) not in gone) for i, t in docs}
+
+
 def test_substring_dedup(documents):
     rng = np.random.default_rng(3)
     word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 6))
