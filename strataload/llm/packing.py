@@ -5,7 +5,8 @@ partitions of bounded size, and each partition is packed by best-fit decreasing.
 bound from dual-feasible functions certifies a partition whose bin count meets it. The
 partitions with a gap exchange documents: their imperfect bins are opened, the pieces
 are dealt anew over fewer partitions and packed again, until every partition is
-certified, or an exchange no longer saves a bin.
+certified, or the number of all bins is by one bound over all pieces, or an exchange no
+longer saves a bin.
 """
 
 from __future__ import annotations
@@ -62,7 +63,8 @@ class TokenizerMemo(Memo):
         return out
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids if text else []
+        # The fast call leaves out the offsets, which nothing here reads.
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids if text else []
 
 
 _memos: dict[str, TokenizerMemo] = {}
@@ -153,7 +155,8 @@ def _packed(pieces: DataFrame, parts: int, first: int, turn: int, capacity: int)
         return pd.DataFrame({
             "row": rows["row"], "piece": rows["piece"], "length": lengths, "task": task,
             "sequence_id": task * (1 << 32) + bins, "offset": offsets,
-            "gap": (count > bound) & (fill[bins] < capacity), "bound": bound, "bins": count,
+            # Best fit leaves at most one bin half empty, which others' pieces may fill.
+            "gap": (fill[bins] < capacity) & ((count > bound) | (2 * fill[bins] <= capacity)), "bound": bound, "bins": count,
         })
 
     dealt = pieces.select("row", "piece", "length", F.pmod(F.xxhash64("row", "piece", F.lit(turn)), F.lit(parts)).alias("task"))
@@ -164,29 +167,35 @@ def pack_pieces(pieces: DataFrame, capacity: int = 1024, per_partition: int = 65
     """The bin and the place of every piece, and whether its partition's bin count is certified.
 
     A partition holds about ``per_partition`` pieces, whatever their lengths, so a task
-    needs memory for that many. An exchange is kept only if it needs fewer bins; after
-    ``turns`` exchanges the packing stays as it is, complete but perhaps not certified.
+    needs memory for that many. Certified partitions give their half-empty bin into the
+    exchange as well. An exchange is kept only if it needs fewer bins; exchanges end when
+    all bins together meet the bound of all pieces' lengths, or after ``turns``, when
+    the packing stays as it is, complete but perhaps not certified.
     """
-    n = pieces.count()
-    parts = -(-n // per_partition) or 1
-    first, done = 0, []
+    counts = np.zeros(capacity + 1, np.int64)
+    for row in pieces.groupBy("length").count().collect():  # at most one row per length
+        counts[row["length"]] = row["count"]
+    least = bins_bound(counts, capacity)
+    parts = -(-int(counts.sum()) // per_partition) or 1
+    first, done, closed = 0, [], 0
     now = _packed(pieces, parts, first, 0, capacity)
     for turn in range(1, turns + 1):
         first += parts
-        open_ = now.filter("gap").agg(
-            F.count("*").alias("n"), F.countDistinct("sequence_id").alias("bins")
-        ).first()
-        if not open_["n"]:
+        bins = now.groupBy("sequence_id").agg(F.count("*").alias("n"), F.first("gap").alias("gap"))
+        found = {r["gap"]: r for r in bins.groupBy("gap").agg(F.count("*").alias("bins"), F.sum("n").alias("n")).collect()}
+        if True not in found or closed + sum(r["bins"] for r in found.values()) == least:
             break
-        parts = -(-open_["n"] // per_partition)
+        parts = -(-found[True]["n"] // per_partition)
         again = _packed(now.filter("gap"), parts, first, turn, capacity)
-        if again.select("sequence_id").distinct().count() >= open_["bins"]:
+        if again.select("sequence_id").distinct().count() >= found[True]["bins"]:
             break
         done.append(now.filter("not gap"))
+        closed += found[False]["bins"] if False in found else 0
         now = again
     for other in done:
         now = now.unionByName(other)
-    return now.withColumn("certified", F.col("bins") == F.col("bound"))
+    total = now.select("sequence_id").distinct().count()
+    return now.withColumn("certified", (F.col("bins") == F.col("bound")) | F.lit(total == least))
 
 
 def pack_documents(
@@ -196,7 +205,7 @@ def pack_documents(
 
     Empty tables give no rows; repeated rows are packed each on their own; a NULL doc_id
     is kept as NULL; other columns are not read. ``certified``: the partition that packed
-    this sequence needed no more bins than the lower bound.
+    this sequence, or all of them together, needed no more bins than the lower bound.
     """
     pieces = token_pieces(docs, tokenizer_path, capacity)
     places = pack_pieces(pieces, capacity, per_partition).select("row", "piece", "sequence_id", "offset", "certified")

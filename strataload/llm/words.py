@@ -48,13 +48,17 @@ class Memo:
         # A line break between visible characters is a match of its own: "a\nb c" gives "\na", "\nb", "c",
         # of which the first break, put there to tell a text's start from a word, is taken off again below.
         have, new = self.inner, {}
+        visible: set[str] = set()
         parts, got, gaps = [], [], []
         for text in texts:
             own = ("\n" + text).replace("\n", " \n").split(" ")[1:]
             ids = list(map(have.get, own))
             missing = [k for k, x in enumerate(ids) if x is None] if None in ids else []
             # Kept pieces have visible ends, so only missing ones can show uneven spaces.
-            if missing and not all([_visible_ends(own[k]) for k in missing]):
+            unseen = {own[k] for k in missing} - visible
+            if all(map(_visible_ends, unseen)):
+                visible |= unseen
+            else:
                 own = pieces(text)
                 ids = [None, *map(have.get, own[1:])] if own else []
                 missing = [k for k, x in enumerate(ids) if x is None]
@@ -74,7 +78,7 @@ class Memo:
             if own and own[0][0] == "\n":
                 ids[0] = ids[0][4:]
             out.append(b"".join(ids))
-        have.update((p, x) for p, x in found.items() if len(p) <= self.longest and _visible_ends(p))
+        have.update((p, x) for p, x in found.items() if len(p) <= self.longest and (p in visible or _visible_ends(p)))
         if len(have) > self.entries:
             self.older, self.inner = have, {}
         return out
