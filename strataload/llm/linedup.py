@@ -1,16 +1,19 @@
-"""Line dedup by suffix ranks over line ids.
+"""Line dedup by a suffix array over line ids.
 
 Every line gets an id; suffixes of the line sequences are ranked by their first 1, 2,
 4, … lines, each round by the pair of ranks at a place and as far behind it as the
 ranks reach ("prefix doubling"). Ranks are dense numbers in sorted order, given to
 distinct classes only; a suffix whose prefix occurs once leaves, as no longer prefix of
-it can repeat. When the ranks cover ``min_lines`` lines, the classes are the intervals
-of the suffix array in which neighbours share that many lines: each member but the
-first begins a later copy. Runs of such beginnings add up to the maximal repeated runs,
-however long, so ranking by more lines could not change what is deleted.
+it can repeat. Rounds go on until every suffix is unique or has run to its text's end,
+so their number is the logarithm of the longest repeated run, and all but the first
+touch repeated lines only.
 
-A repeated run of one line counts as well if that line holds ``min_words`` words: the ranks
-by one line tell these.
+A class is an interval of the suffix array in which neighbours share at least so many lines
+(a longest-common-prefix interval); each member but the first begins a later copy of the
+interval's first member. Later copies that begin one line apart, of first members one line
+apart, are one run, and runs that lie within others are dropped: the maximal repeated
+runs are left, each with the place it repeats. A run counts if it has ``min_lines`` lines, or is one line of
+``min_words`` words.
 
 Built-in functions only. A class, however frequent, is counted on the map side and met
 by an equi-join that adaptive execution splits.
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataload.llm.sharding import number_rows
-from strataload.sources.scratch import settle
+from strataload.sources.scratch import discard, settle
 
 WORD = r"[^\x20\x09-\x0D]+"
 _DOC = ["_id", "_hash"]  # the text's hash tells apart rows that share an id
@@ -41,25 +44,42 @@ def _ranked(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(classes, keys).drop(*keys).withColumnRenamed("rank_", "rank")
 
 
-def later_copies(docs: DataFrame, min_lines: int, min_words: int | None = None) -> DataFrame:
-    """(_id, _hash, pos, end): lines that repeat earlier ones, ``min_lines`` at a time, or alone if they hold ``min_words`` words."""
+def _runs(rows: DataFrame, reach: int) -> DataFrame:
+    """Runs (_id, _hash, pos, end, first) of neighbouring later copies, of ``reach`` lines each, whose first copies are neighbours too."""
+    later = rows.filter(~F.struct(*_DOC, "pos").eqNullSafe(F.col("first"))).select(*_DOC, "pos", "first").distinct()
+    later = later.withColumns({"f_id": F.col("first._id"), "f_hash": F.col("first._hash"), "shift": F.col("pos") - F.col("first.pos")})
+    line = [*_DOC, "f_id", "f_hash", "shift"]
+    later = later.withColumn("island", F.col("pos") - F.row_number().over(Window.partitionBy(*line).orderBy("pos")))
+    runs = later.groupBy(*line, "island").agg(F.min("pos").alias("start"), (F.max("pos") + reach - 1).alias("end"), F.min("first").alias("first"))
+    return settle(runs.select(*_DOC, F.col("start").alias("pos"), "end", "first"), "line-runs")
+
+
+def repeated_runs(docs: DataFrame, min_lines: int, min_words: int | None = None) -> DataFrame:
+    """(_id, _hash, pos, end, first): the maximal runs of lines that repeat an earlier place.
+
+    A run has at least ``min_lines`` lines, or is a line of ``min_words`` words. Lines
+    ``pos`` to ``end`` equal as many lines from ``first`` (_id, _hash, pos) on, which comes before
+    by (_id, _hash, pos). No run lies within another one of its text; where a run's parts
+    have their first copies at different places, it is told as several that overlap.
+    """
     lines = _keyed(docs).select(*_DOC, F.posexplode(F.split("_text", "\n")).alias("pos", "line"))
     words = F.size(F.regexp_extract_all("line", F.lit(WORD), F.lit(0)))
     alone = F.lit(False) if min_words is None else words >= min_words
     lines = lines.select(*_DOC, "pos", F.unhex(F.md5("line")).alias("line"), alone.alias("alone"))
-    rows = single = settle(_ranked(lines, ["line"]), "line-ranks")
+    rows = settle(_ranked(lines, ["line"]), "line-ranks")
+    runs = _runs(rows if min_lines == 1 else rows.filter("alone"), 1)
     reach = 1
-    while reach < min_lines:
-        step = min(reach, min_lines - reach)  # the last step may overlap
+    while not rows.isEmpty():
+        step = min(reach, min_lines - reach) if reach < min_lines else reach  # ranks of exactly min_lines are needed; there both may overlap
         behind = Window.partitionBy(*_DOC).orderBy("pos").rangeBetween(step, step)
-        pairs = rows.drop("first", "alone").withColumn("behind", F.max("rank").over(behind)).filter("behind is not null")
-        rows = settle(_ranked(pairs, ["rank", "behind"]), "line-ranks")
+        pairs = rows.select(*_DOC, "pos", "rank", F.max("rank").over(behind).alias("behind")).filter("behind is not null")
+        before, rows = rows, settle(_ranked(pairs, ["rank", "behind"]), "line-ranks")
+        discard(before)
         reach += step
-    is_later = ~F.struct(*_DOC, "pos").eqNullSafe(F.col("first"))
-    later = rows.filter(is_later).select(*_DOC, "pos", (F.col("pos") + min_lines - 1).alias("end"))
-    if min_words is None:
-        return later
-    return later.unionByName(single.filter(F.col("alone") & is_later).select(*_DOC, "pos", F.col("pos").alias("end")))
+        if reach >= min_lines:
+            runs = runs.unionByName(_runs(rows, reach))
+    order = Window.partitionBy(*_DOC).orderBy("pos", F.desc("end"), "first").rowsBetween(Window.unboundedPreceding, -1)
+    return runs.withColumn("reached", F.max("end").over(order)).filter("reached is null or reached < end").drop("reached")
 
 
 def line_dedup(docs: DataFrame, min_lines: int = 2, min_words: int | None = None) -> DataFrame:
@@ -68,12 +88,13 @@ def line_dedup(docs: DataFrame, min_lines: int = 2, min_words: int | None = None
     A line goes if it lies in a run of at least ``min_lines`` lines of which an earlier
     copy exists, earlier by (doc_id, place); with ``min_words``, also a line of that many words
     of which an earlier copy exists, whatever stands around it. Copies inside one text count, also when they
-    overlap. NULL text is one empty line, empty lines are lines like others, a NULL doc_id
+    overlap. Texts of any length are taken whole; only repeated lines go beyond the first
+    round. NULL text is one empty line, empty lines are lines like others, a NULL doc_id
     comes before all others; rows with equal doc_id and text are one document and share
     the result; an empty table gives no rows. Other columns are not read.
     """
-    later = later_copies(docs, min_lines, min_words)
-    gone = later.select(*_DOC, F.explode(F.sequence("pos", "end")).alias("pos")).distinct()
+    runs = repeated_runs(docs, min_lines, min_words)
+    gone = runs.select(*_DOC, F.explode(F.sequence("pos", "end")).alias("pos")).distinct()
     gone = gone.groupBy(*_DOC).agg(F.array_sort(F.collect_list("pos")).alias("gone"))
     rows = _keyed(docs)
     same = rows["_id"].eqNullSafe(gone["_id"]) & (rows["_hash"] == gone["_hash"])

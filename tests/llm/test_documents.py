@@ -6,6 +6,7 @@ import random
 import re
 import string
 import time
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -100,6 +101,35 @@ def test_single_lines_of_some_words_by_brute_force(documents):
     assert got == {i: "\n".join(x for p, x in enumerate(t.split("\n")) if (i, p) not in gone) for i, t in docs}
 
 
+def test_maximal_line_runs(documents):
+    """Copies of 1, 2, 3, 5 and 300 lines: each run repeats its first place, none lies in another, together they are the brute-force cover."""
+    rng = np.random.default_rng(11)
+    fresh = iter(range(10**6))
+    own = lambda n: [f"own {next(fresh)}" for _ in range(n)]
+    blocks = [own(n) for n in (1, 2, 3, 5, 300)]
+    texts = [own(2) + block + own(1) for block in blocks]
+    texts += [own(int(rng.integers(0, 3))) + blocks[b] + own(1) + blocks[(b + 1) % 5][:2] for b in range(5)]
+    texts += [blocks[4], blocks[4][7:], list("abababab"), [], ["one two three four"], own(1) + ["one two three four"]]
+    docs = [(i, "\n".join(t)) for i, t in enumerate(texts)]
+    lines = {i: t.split("\n") for i, t in docs}
+    runs = linedup.repeated_runs(documents(docs), 2, 4).collect()
+    for r in runs:
+        n, first = r.end - r.pos + 1, r["first"]
+        assert lines[r._id][r.pos : r.end + 1] == lines[first._id][first.pos : first.pos + n]
+        assert (first._id, first.pos) < (r._id, r.pos) and (n >= 2 or len(lines[r._id][r.pos].split()) >= 4)
+        assert not any(q is not r and q._id == r._id and q.pos <= r.pos and r.end <= q.end for q in runs)
+    seen, want = set(), set()
+    for i, t in lines.items():
+        for p, line in enumerate(t):
+            for key in [tuple(t[p : p + 2])] * (p + 1 < len(t)) + [(line,)] * (len(line.split()) >= 4):
+                want |= {(i, p + k) for k in range(len(key))} if key in seen else set()
+                seen.add(key)
+    assert {(r._id, p) for r in runs for p in range(r.pos, r.end + 1)} == want
+    sizes = {(r._id, r.end - r.pos + 1) for r in runs}
+    # The period of text 12 has its first copies at changing places, so its runs overlap.
+    assert {(9, 300), (10, 300), (11, 293), (15, 1)} <= sizes and sum(i == 12 for i, _ in sizes) >= 1
+
+
 def test_substring_dedup(documents):
     rng = np.random.default_rng(3)
     word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 6))
@@ -305,6 +335,7 @@ def test_random_and_ordinary_held_out_tokens(spark):
 
 def test_packing(spark, edge):
     import public_tokenizers
+    from tokenizers import Tokenizer
 
     rows = packing.pack_documents(edge, public_tokenizers.path("byte_bpe_50k.json"), capacity=64).collect()
     by = defaultdict(list)
@@ -318,6 +349,22 @@ def test_packing(spark, edge):
         assert at <= 64
     assert {r.doc_id for r in rows} == {i for i, _ in EDGE}
     assert [r.length for r in rows if r.doc_id == 3] == [1]
+    # Lengths, starts and ids are the tokenizer's own.
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter()
+    for i, t in EDGE:
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
+        starts = [0, *range(len(ids) % 64 or 64, len(ids), 64)]
+        for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
+            want[i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())] += 1
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+
+
+def test_packing_exchanges_between_certified_partitions(spark):
+    """Every partition ends with a half-empty bin of its own; exchanged, they need no more bins than all pieces' bound."""
+    pieces = spark.range(400).selectExpr("id row", "0 piece", "100L length")
+    rows = packing.pack_pieces(pieces, capacity=1000, per_partition=50).collect()
+    assert len(rows) == 400 and len({r.sequence_id for r in rows}) <= 42
 
 
 def test_bins_bound_never_exceeds_a_packing():
