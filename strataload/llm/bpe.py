@@ -14,6 +14,7 @@ The automaton's strings are the tokens' bytes read as Latin-1, one character a b
 from __future__ import annotations
 
 import base64
+import filecmp
 import hashlib
 from array import array
 from collections.abc import Iterator
@@ -177,10 +178,15 @@ def _encoder(name: str, pattern: str, on_driver: str) -> TextEncoder:
 
 
 def share_file(spark, path: str) -> str:
-    """Send a vocabulary file to all executors, present and future; returns its name there."""
+    """Send a vocabulary file to all executors, present and future; returns its name there.
+
+    Executors know a file by its base name, so another content under a name in use is refused.
+    """
     name = path.rsplit("/", 1)[-1]
     if not any(str(f).rsplit("/", 1)[-1] == name for f in spark.sparkContext.listFiles):
         spark.sparkContext.addFile(path)
+    elif not filecmp.cmp(SparkFiles.get(name), path, shallow=False):
+        raise ValueError(f"another file named {name} is in use in this session; rename one of them")
     return name
 
 

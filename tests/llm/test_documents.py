@@ -360,6 +360,18 @@ def test_packing(spark, edge):
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
 
 
+def test_another_vocabulary_of_the_same_name_is_refused(spark, tmp_path):
+    from strataload.llm.bpe import share_file
+
+    for folder, content in (("a", "one"), ("b", "two"), ("c", "one")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "vocabulary.txt").write_text(content)
+    path = lambda folder: str(tmp_path / folder / "vocabulary.txt")
+    assert share_file(spark, path("a")) == share_file(spark, path("c")) == "vocabulary.txt"
+    with pytest.raises(ValueError, match="vocabulary.txt"):
+        share_file(spark, path("b"))
+
+
 def test_packing_exchanges_between_certified_partitions(spark):
     """Every partition ends with a half-empty bin of its own; exchanged, they need no more bins than all pieces' bound."""
     pieces = spark.range(400).selectExpr("id row", "0 piece", "100L length")
