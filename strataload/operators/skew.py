@@ -11,6 +11,8 @@ from strataload.sources.scratch import settle
 
 PIECE = "_piece"
 _HOT, IS_HOT = "_hot", "_is_hot"
+# Rows of hot keys that one task sorts and numbers, however small the pieces are.
+_ROWS_PER_TASK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -35,10 +37,11 @@ class KeyProfile:
 
 @dataclass(frozen=True)
 class Cuts:
-    """The hot keys, one row each in shared storage, and the number of pieces for all of their rows."""
+    """The hot keys, one row each in shared storage, the number of all their rows, and the rows of a piece."""
 
     hot: DataFrame
-    pieces: int
+    rows: int
+    rows_per_piece: int
 
 
 def profile(df: DataFrame, key: str) -> KeyProfile:
@@ -68,17 +71,26 @@ def find_cuts(df: DataFrame, key: str, found: KeyProfile, policy: SkewPolicy) ->
         return None
     hot = hot_keys(df, key, policy.rows_per_group)
     rows = hot.agg(F.sum("n")).first()[0]
-    return Cuts(hot, -(-rows // policy.rows_per_group) + 1)
+    return Cuts(hot, rows, policy.rows_per_group)
 
 
-def with_piece(df: DataFrame, key: str, order: str, cuts: Cuts) -> DataFrame:
+def with_piece(df: DataFrame, key: str, order: tuple[str, ...], cuts: Cuts) -> DataFrame:
     """Number the pieces of hot keys in the order of ``order``; NULL for all other keys.
 
-    The rows of hot keys are range-partitioned by key and order, and a partition is a
-    piece: as many as the rows ask for. Rows with equal ``order`` share a piece, and a
-    NULL goes to the last one. The numbers hold for one run of the plan; settle the rows.
+    The rows of hot keys are range-partitioned by key and the first of ``order``, sorted, and every
+    ``rows_per_piece`` of a partition make a piece. A task deals with very many pieces, so
+    tasks, and what each sends to the driver, follow the cores and the rows, not the pieces. NULLs go
+    last. The numbers hold for one run of the plan; settle the rows.
     """
     rows = marked(df, key, cuts.hot)
-    dealt = rows.where(IS_HOT).repartitionByRange(cuts.pieces, F.col(key), F.col(order).asc_nulls_last())
-    others = rows.where(F.col(IS_HOT).isNull()).withColumn(PIECE, F.lit(None).cast("int"))
-    return dealt.withColumn(PIECE, F.spark_partition_id()).unionByName(others).drop(IS_HOT)
+    most = max(df.sparkSession.sparkContext.defaultParallelism, -(-cuts.rows // _ROWS_PER_TASK))
+    tasks = min(-(-cuts.rows // cuts.rows_per_piece) + 1, most)
+    line = [F.col(c).asc_nulls_last() for c in order]
+    dealt = rows.where(IS_HOT).repartitionByRange(tasks, F.col(key), line[0]).sortWithinPartitions(key, *line)
+    # The partition in the upper bits, the place in it in the lower 33.
+    place, places = F.monotonically_increasing_id(), F.lit(1 << 33)
+    numbered = dealt.withColumn(PIECE, place).withColumn(
+        PIECE, F.col(PIECE) - F.pmod(F.pmod(PIECE, places), F.lit(cuts.rows_per_piece).cast("long"))
+    )
+    others = rows.where(F.col(IS_HOT).isNull()).withColumn(PIECE, F.lit(None).cast("long"))
+    return numbered.unionByName(others).drop(IS_HOT)

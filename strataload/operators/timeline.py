@@ -52,7 +52,7 @@ class Timeline:
         """
         if self.cuts is None:
             return df
-        return settle(with_piece(df, self.entity, self.order[0], self.cuts), "timeline")
+        return settle(with_piece(df, self.entity, self.order, self.cuts), "timeline")
 
     def done(self, df: DataFrame) -> DataFrame:
         return df.drop(PIECE)
