@@ -11,6 +11,7 @@ from model import OPEN, day, load as model_load
 from strataload.operators.scd2 import close_intervals, detect_changes, load_scd2
 from strataload.operators.skew import SkewPolicy
 from strataload.schemas import DIM_DRIVER, DRIVER, STAMP, Scd2Spec, stamp, unknown_member
+from strataload.sources.scratch import settle
 
 SPEC = Scd2Spec(key="k", entity="e", change="at", tracked=("a", "b"))
 STAGED = T.StructType([
@@ -248,3 +249,13 @@ def test_hashed_keys_meet_in_one_shuffle_without_a_join(spark):
             dim = settle(loaded)
             found.append((changes, sorted(map(repr, dim.collect()))))
     assert found[:3] == found[3:] and len(found[1][1]) > len(found[0][1]) > 1
+
+
+def test_many_stored_keys_are_shuffled_not_broadcast(spark):
+    from strataload.operators.scd2 import new_rows
+
+    dim = settle(spark.range(2000).select(F.col("id").cast("string").alias("event_key")))
+    staged = settle(spark.range(1990, 2010).select(F.col("id").cast("string").alias("event_key")))
+    found = new_rows(dim, staged, "event_key", many=True)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(int(r[0]) for r in found.collect()) == list(range(2000, 2010))
