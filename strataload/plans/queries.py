@@ -372,31 +372,44 @@ def point_in_time_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 MOVEMENTS = T.StructType([STG_PT[c] for c in ("transactiondate", "accountingdate", "policy_uniqueid", "amount")] + [T.StructField("loaddate", STAMP)])
 
 
-def history_store(spark: SparkSession, sf_dir: str) -> Store:
-    """A store after both batches of vehicles and coverages and of a dated table, loaded as a cycle loads them."""
+HISTORY_INPUTS = {
+    "dim_vehicle": VEHICLE_INPUTS,
+    "dim_coverage": ["transactiondate", *_COVERAGE],
+    "movements": [c for c in MOVEMENTS.names if c != "loaddate"],
+}
+
+
+def history_store(spark: SparkSession, sf_dir: str, *names: str) -> Store:
+    """A store after both batches of the named tables, vehicles, coverages or a dated one, each loaded as a cycle loads it.
+
+    Each batch of a table reads its own lines, and those only with the tables and columns that it needs.
+    """
     store = Store(spark, fresh_path(spark, "store"), grain="month", dated={"movements": ("loaddate", "accountingdate")})
-    columns = dict.fromkeys([*VEHICLE_INPUTS, *_COVERAGE, "accountingdate", "amount"])
-    stg = settle(staging(spark, sf_dir, list(columns)), "stg")
-    for name in ("dim_vehicle", "dim_coverage"):
-        store.write_small(name, unknown_member(spark, name, L0))
-    for load, at in ((BATCH_1, L1), (BATCH_2, L2)):
-        for name in ("dim_vehicle", "dim_coverage"):
-            load_dimension(store, name, stg, load, LoadContext(at, at))
-        moved = load.rows(stg).select("transactiondate", "accountingdate", "policy_uniqueid", "amount", stamp(at).alias("loaddate"))
-        store.replace_range("movements", moved, load, at)
+
+    def load_both(name: str) -> None:
+        if name != "movements":
+            store.write_small(name, unknown_member(spark, name, L0))
+        for load, at in ((BATCH_1, L1), (BATCH_2, L2)):
+            stg = staging(spark, sf_dir, HISTORY_INPUTS[name], load)
+            if name == "movements":
+                store.replace_range(name, load.rows(stg).withColumn("loaddate", stamp(at)), load, at)
+            else:
+                load_dimension(store, name, stg, load, LoadContext(at, at))
+
+    side_by_side(spark, load_both, names)
     return store
 
 
 @query
 def scd2_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both batches of vehicles stored in buckets, of which a load rewrites those that it touches."""
-    return shown(history_store(spark, sf_dir).read("dim_vehicle"))
+    return shown(history_store(spark, sf_dir, "dim_vehicle").read("dim_vehicle"))
 
 
 @query
 def zone_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the pointer of a dated table knows of each month."""
-    store = history_store(spark, sf_dir)
+    store = history_store(spark, sf_dir, "movements")
     names = ["part", "n_rows", "n_newest", "min_loaddate", "max_loaddate", "min_accountingdate", "max_accountingdate"]
     return shown(store.read("movements.parts").select(*names))
 
@@ -404,7 +417,7 @@ def zone_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def zone_latest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Amount by policy in the newest accounting month, from the parts that can hold it."""
-    store = history_store(spark, sf_dir)
+    store = history_store(spark, sf_dir, "movements")
     month = store.newest("movements", "accountingdate") // 100 * 100
     rows = store.read_zone("movements", "accountingdate", month, layout=MOVEMENTS)
     return counted(rows, "policy_uniqueid")
@@ -413,7 +426,7 @@ def zone_latest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def observed_load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The load summary of three tables from what was counted while they were written."""
-    store = history_store(spark, sf_dir)
+    store = history_store(spark, sf_dir, *HISTORY_INPUTS)
     seen = {
         "dim_coverage": store.metrics["dim_coverage"], "dim_vehicle": store.load_figures("dim_vehicle", L2),
         "movements": store.load_figures("movements", L2),
