@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from strataload.sources.scratch import settle
 
-_ID, _NORM, _DIGEST = "_x_id", "_x_norm", "_x_digest"
+_ID, _NORM, _DIGEST, _KEY = "_x_id", "_x_norm", "_x_digest", "_x_key"
+BROADCAST_KEYS = 2_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -73,7 +74,8 @@ def exact_groups(docs: DataFrame, salts: int = 64, digest=sha256) -> DataFrame:
 def exact_dedup(docs: DataFrame, salts: int = 64, digest=sha256) -> DataFrame:
     """The rows that stay, one per distinct text, with all their columns.
 
-    A row that no other shares its digest with stays as it is: its text travels at most once, to be told apart.
+    A row that no other shares its text's 64-bit hash with stays as it is, without a shuffle while the shared hashes
+    are few enough to broadcast (counted first); beyond that its text travels once, to be told apart.
     The others are combined as whole rows, inside each task, per (text, salt) and per text, by full contents
     each time. Of equal texts the largest doc_id stays, NULL ranking lowest, and among rows that
     repeat it the one whose columns hash highest.
@@ -81,14 +83,15 @@ def exact_dedup(docs: DataFrame, salts: int = 64, digest=sha256) -> DataFrame:
     named = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
     row = F.struct(*[c.alias(f"c{i}") for i, c in enumerate(named)])
     field = lambda name: F.col(f"_x_row.c{docs.columns.index(name)}")
-    held = docs.select(digest(normalised(F.col("text"))).alias(_DIGEST), row.alias("_x_row"))
-    counts = docs.select(digest(normalised(F.col("text"))).alias(_DIGEST)).groupBy(_DIGEST).agg(F.count("*").alias("n"))
-    shared = settle(counts.filter("n > 1").select(_DIGEST), "shared-digests")
-    # Both joins read one and the same exchange of the rows, or none where the shared digests are few.
-    alone = held.join(shared, _DIGEST, "left_anti").select("_x_row")
-    doc_id = field("doc_id")
+    key = F.xxhash64(normalised(F.col("text"))).alias(_KEY)
+    held = docs.select(key, row.alias("_x_row"))
+    shared = settle(docs.select(key).groupBy(_KEY).agg(F.count("*").alias("n")).filter("n > 1").select(_KEY), "shared-keys")
+    if shared.count() <= BROADCAST_KEYS:  # of 8 bytes each
+        shared = F.broadcast(shared)
+    alone = held.join(shared, _KEY, "left_anti").select("_x_row")
+    doc_id, norm = field("doc_id"), normalised(field("text"))
     rank = F.struct(doc_id.isNotNull().alias("known"), doc_id.alias("id"), F.xxhash64("_x_row").alias("hash"))
-    met = held.join(shared, _DIGEST, "left_semi").withColumns({_NORM: normalised(field("text")), "_x_rank": rank})
+    met = held.join(shared, _KEY, "left_semi").withColumns({_NORM: norm, _DIGEST: digest(norm), "_x_rank": rank})
     best = [F.max_by("_x_row", "_x_rank").alias("_x_row"), F.max("_x_rank").alias("_x_rank")]
     salted = met.groupBy(_DIGEST, _NORM, F.pmod(F.xxhash64("_x_rank"), F.lit(salts)).alias("_x_salt")).agg(*best)
     winners = salted.groupBy(_DIGEST, _NORM).agg(*best).select("_x_row")

@@ -35,6 +35,7 @@ from strataload.sources.scratch import discard, settle
 
 PLACES = 64
 BROADCAST_REPS = 200_000
+BROADCAST_GONE = 1_000_000
 _draw = np.random.default_rng(20240229)
 _BYTE = _draw.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -302,5 +303,8 @@ def near_dedup(docs: DataFrame, **settings) -> DataFrame:
     which each stays; exact dedup comes before.
     """
     gone = near_groups(docs, **settings).filter("not first").select(F.col("doc_id").alias("_g_id"), F.col("_hash").alias("_g_hash"))
+    gone = settle(gone, "gone")
+    if gone.count() <= BROADCAST_GONE:  # of 16 bytes each
+        gone = F.broadcast(gone)
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_g_id")) & (F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col("_g_hash"))
     return docs.join(gone, same, "left_anti")

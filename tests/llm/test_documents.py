@@ -406,3 +406,21 @@ def test_hashed_sets_equal_real_sets():
         assert len(hasher.shingles(text, 5)) == len(neardup.shingles(text))
 
 
+
+
+def test_dedup_deals_no_whole_table_for_a_few_shared_texts(spark):
+    """With automatic broadcasts off, only rows that share a text are shuffled with their texts, and rows to drop are broadcast."""
+    from strataload.llm import exactdup, neardup
+
+    docs = spark.createDataFrame([(k, f"text number {k % 40} of a few words") for k in range(50)], "doc_id long, text string").coalesce(1)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    kept = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        for dedup, left in ((exactdup.exact_dedup, range(10, 50)), (neardup.near_dedup, range(40))):
+            rows = dedup(docs)
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+            assert sorted(r.doc_id for r in rows.collect()) == list(left)
+    finally:
+        spark.conf.set(name, kept)
