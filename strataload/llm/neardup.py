@@ -14,7 +14,8 @@ together at the root and never compared with a pivot is still together after k l
 a branching process of mean one: over all trees it is lost with a chance of 7e-7, 3e-5, 4e-4 and 6e-3 for
 k = 1, 2, 4 and 8 at exactly 0.75, and of 2e-8, 8e-7, 2e-5 and 5e-4 at 0.8.
 
-Pairs that meet are compared by one byte of each minwise value, then confirmed on the
+A node's pivots, or the few classes outside the main label of a small node, travel to each of its classes as one list, so
+no row is made for a pair before it is likely: pairs that meet are compared there by two bits each of 256 minwise values, then confirmed on the
 shingles of both whole texts. Only links between different sets are looked for, and only
 between classes not yet connected, so no group is expanded into all of its pairs.
 """
@@ -26,14 +27,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataload.llm.components import components
-from strataload.sources.scratch import discard, settle
+from strataload.sources.scratch import discard, settle, small_batches
 
 PLACES = 64
+MORE = 192  # further minwise values, for sketches alone
 BROADCAST_REPS = 200_000
 BROADCAST_GONE = 1_000_000
 _draw = np.random.default_rng(20240229)
@@ -42,6 +44,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _TIMES = _draw.integers(0, 2**63, PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLUS = _draw.integers(0, 2**64, PLACES, dtype=np.uint64)
+_TIMES_MORE = _draw.integers(0, 2**31, MORE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_PLUS_MORE = _draw.integers(0, 2**32, MORE, dtype=np.uint32)
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -102,37 +106,45 @@ def minwise(hashes: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
+def sketch(values: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Two bits of each of 256 minwise values, 32 values to a long: the given ones and 192 of half as many bits."""
+    more, short = np.full(MORE, 2**32 - 1, np.uint32), (hashes >> np.uint64(32)).astype(np.uint32)
+    for at in range(0, len(short), 256):
+        more = np.minimum(more, (short[at : at + 256, None] * _TIMES_MORE + _PLUS_MORE).min(0))
+    twos = np.concatenate([values & 3, (more >> np.uint32(10) & np.uint32(3)).view(np.int32)]).astype(np.uint8).reshape(-1, 4)
+    return (twos << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8).view("<i8")
+
+
 def sets_of(docs: DataFrame, width: int = 5) -> DataFrame:
-    """Per row: doc_id, _hash of the text, n (size of its set), id (digest of the set) and its minwise values."""
+    """Per row: doc_id, _hash of the text, n (size of its set), id (digest of the set), its minwise values and their sketch."""
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = Hasher()
         for batch in batches:
-            ids, sizes, values = [], [], []
+            ids, sizes, values, sketches = [], [], [], []
             for text in batch["_text"]:
                 found = hasher.shingles(text, width)
                 sizes.append(len(found))
                 ids.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 values.append(minwise(found) if len(found) else None)
-            out = pd.DataFrame({"_hash": batch["_hash"], "n": sizes, "id": ids, "values": values})
+                sketches.append(sketch(values[-1], found) if len(found) else None)
+            out = pd.DataFrame({"_hash": batch["_hash"], "n": sizes, "id": ids, "values": values, "sketch": sketches})
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64"))
             yield out
 
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("_hash"), text.alias("_text"))
-    return settle(rows.mapInPandas(measure, "doc_id long, _hash long, n long, id binary, values array<int>"), "shingle-sets")
-
+    with small_batches(docs.sparkSession):
+        return settle(rows.mapInPandas(measure, "doc_id long, _hash long, n long, id binary, values array<int>, sketch array<long>"), "shingle-sets")
 
-@F.pandas_udf(T.BinaryType())
-def sketch(values: pd.Series) -> pd.Series:
-    """The low byte of each minwise value."""
-    return pd.Series([(np.asarray(v) & 0xFF).astype(np.uint8).tobytes() for v in values])
 
-
-@F.pandas_udf(T.IntegerType())
-def agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
-    left, right = (np.frombuffer(b"".join(x), np.uint8).reshape(-1, PLACES) for x in (a, b))
-    return pd.Series((left == right).sum(1, dtype=np.int32))
+def agreeing(a: Column, b: Column) -> Column:
+    """The number of minwise values whose two bits two sketches share."""
+    apart = F.lit(0)
+    for k in range((PLACES + MORE) // 32):
+        bits = a[k].bitwiseXOR(b[k])
+        apart = apart + F.bit_count(bits.bitwiseOR(F.shiftrightunsigned(bits, 1)).bitwiseAND(F.lit(0x5555555555555555)))
+    return F.lit(PLACES + MORE) - apart
 
 
 def confirmer(width: int, percent: int):
@@ -156,15 +168,16 @@ class Join:
     def __init__(self, docs: DataFrame, rows: DataFrame, width: int, percent: int, trees: int, node_size: int, pivots: int, levels: int):
         self.docs, self.percent, self.trees, self.node_size, self.pivots, self.levels = docs, percent, trees, node_size, pivots, levels
         self.confirmed = confirmer(width, percent)
-        # 64 matches at percent/100 of them, less four standard deviations.
-        share = percent / 100
-        self.least = int(PLACES * share - 4 * (PLACES * share * (1 - share)) ** 0.5)
+        # Values match at percent/100 of the places and their two bits at a quarter of the others; less four standard deviations.
+        share, places = percent / 100 * 0.75 + 0.25, PLACES + MORE
+        self.least = int(places * share - 4 * (places * share * (1 - share)) ** 0.5)
         classes = rows.filter("n > 0").groupBy("id").agg(
-            F.min(F.struct("doc_id", "_hash")).alias("rep"), F.first("n").alias("n"), F.first("values").alias("values")
+            F.min(F.struct("doc_id", "_hash")).alias("rep"), F.first("n").alias("n"), F.first("values").alias("values"), F.first("sketch").alias("sketch")
         )
-        self.classes = settle(classes.withColumn("sketch", sketch("values")), "classes")
+        self.classes = settle(classes, "classes")
         self.labels: DataFrame | None = None
         self.tried: DataFrame | None = None
+        self.pending: list[DataFrame] = []
 
     def branch(self, rows: DataFrame, level: int) -> DataFrame:
         """Children of (node, tree, path, values, id): one or two for each, by the values at places that the path draws."""
@@ -199,39 +212,75 @@ class Join:
             (pairs <= self.node_size / 2 * size).alias("small"),
             F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels"),
         ).filter("labels > 1").drop("labels")
-        return settle(rows.join(nodes, "node"), "nodes")
+        sketches = self.classes.select("id", F.col("n").alias("size"), "sketch")
+        return settle(rows.join(nodes, "node").join(sketches, "id"), "nodes")
+
+    def partners(self, rows: DataFrame, large: Column) -> DataFrame:
+        """Per node the classes that all its others are held against, a bounded list: in a small node all outside
+        the main label, in a large one the smallest of each part of these by hash."""
+        outside = F.col("label") != F.col("main")
+        one = F.struct("id", "label", "size", "sketch")
+        slot = F.pmod(F.xxhash64("id"), F.lit(self.pivots))
+        pivots = [F.min(F.when(outside & large & (slot == k), one)).alias(f"p{k}") for k in range(self.pivots)]
+        met = rows.filter(outside).groupBy("node").agg(F.collect_list(F.when(~large, one)).alias("few"), *pivots)
+        return met.select("node", F.concat("few", F.filter(F.array(*[f"p{k}" for k in range(self.pivots)]), lambda p: p.isNotNull())).alias("partners"))
+
+    def likely(self, size_a: Column, sketch_a: Column, size_b: Column, sketch_b: Column) -> Column:
+        sizes = 100 * F.least(size_a, size_b) >= self.percent * F.greatest(size_a, size_b)
+        return sizes & (agreeing(sketch_a, sketch_b) >= self.least)
+
+    def near(self, met: DataFrame) -> DataFrame:
+        """Pairs (a, b) of class ids in ``met``, rows with their node's partners, that sizes and sketches allow."""
+        fits = F.filter("partners", lambda p: (p["label"] != F.col("label")) & self.likely(F.col("size"), F.col("sketch"), p["size"], p["sketch"]))
+        pairs = met.select("id", F.explode(F.transform(fits, lambda p: p["id"])).alias("other"))
+        return pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+
+    def near_all(self, rows: DataFrame) -> DataFrame:
+        """As ``near``, for all pairs of the nodes of ``rows``."""
+        two = rows.select("node", *[F.col(c).alias(f"{c}_b") for c in ("id", "label", "size", "sketch")])
+        pairs = rows.filter("label <> main").join(two, "node").filter("label <> label_b")
+        pairs = pairs.filter(self.likely(F.col("size"), F.col("sketch"), F.col("size_b"), F.col("sketch_b")))
+        return pairs.select(F.least("id", "id_b").alias("a"), F.greatest("id", "id_b").alias("b"))
 
     def link(self, pairs: DataFrame) -> None:
-        """Confirm pairs (a, b) of class ids, and connect those that hold."""
-        sketches = self.classes.select("id", "n", "sketch")
-        near = pairs.distinct()
-        for side in "ab":
-            near = near.join(sketches.select(*[F.col(c).alias(f"{c}_{side}") for c in sketches.columns]), F.col(side) == F.col(f"id_{side}"))
-        sizes = 100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b")
-        near = near.filter(sizes).filter(agreeing("sketch_a", "sketch_b") >= self.least).select("a", "b")
+        """Confirm likely pairs (a, b) of class ids; those that hold are kept until ``connect``."""
+        near = pairs.withColumn("new", F.lit(True))
         if self.tried is not None:  # a pair that met before, in another node, has its answer
-            near = near.join(self.tried, ["a", "b"], "left_anti")
-        near = settle(near, "near")
+            near = near.unionByName(self.tried.withColumn("new", F.lit(False)))
+        near = settle(near.groupBy("a", "b").agg(F.min("new").alias("new")).filter("new").select("a", "b"), "near")
         self.tried = near if self.tried is None else self.tried.unionByName(near)
-        needed = near.select(F.col("a").alias("id")).unionByName(near.select(F.col("b").alias("id"))).distinct()
-        reps = self.classes.select("id", F.col("rep.doc_id").alias("_r"), F.col("rep._hash").alias("_h")).join(needed, "id", "left_semi")
+        count = near.count()
+        if not count:
+            return
+        few = F.broadcast if count <= BROADCAST_REPS else lambda x: x  # pairs of a few bytes each
+        needed = near.select(F.explode(F.array("a", "b")).alias("id"))
+        reps = self.classes.select("id", F.col("rep.doc_id").alias("_r"), F.col("rep._hash").alias("_h")).join(few(needed), "id", "left_semi")
         text = F.coalesce(F.col("text"), F.lit(""))
         found = self.docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("_hash"), text.alias("text"))
         if reps.count() <= BROADCAST_REPS:  # of a few bytes each
             reps = F.broadcast(reps)
         texts = reps.join(found, F.col("_r").eqNullSafe(F.col("doc_id")) & (F.col("_h") == F.col("_hash"))).select("id", "text")
         texts = settle(texts, "texts")
-        for side in "ab":
-            near = near.join(texts.select(F.col("id").alias(f"id_{side}"), F.col("text").alias(f"text_{side}")), F.col(side) == F.col(f"id_{side}"))
-        links = settle(near.filter(self.confirmed("text_a", "text_b")).select("a", "b").distinct(), "links")
+        sides = [texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab"]
+        both = sides[0].join(few(near), "a").join(sides[1], "b")
+        with small_batches(self.docs.sparkSession):
+            links = settle(both.filter(self.confirmed("text_a", "text_b")).select("a", "b"), "links")
         discard(texts)
-        if links.isEmpty():
+        if not links.isEmpty():
+            self.pending.append(links)
+
+    def connect(self) -> None:
+        """Labels from all links so far."""
+        if not self.pending:
             return
+        links = self.pending[0]
+        for more in self.pending[1:]:
+            links = links.unionByName(more)
         if self.labels is not None:
             links = links.unionByName(self.labels.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        found = components(links, "a", "b")
-        discard(links)
-        self.labels = found
+        self.labels = components(links, "a", "b")
+        discard(*self.pending)
+        self.pending = []
 
     def run(self) -> DataFrame | None:
         """(node, root) for the classes that are linked; None if none is."""
@@ -243,25 +292,22 @@ class Join:
             if before is not None:
                 discard(before)
             before = rows
-            large = ~F.col("small") if level < self.levels else F.lit(False)
             # All pairs of different labels have a side outside the main label; few classes are outside.
-            one = rows.filter(~large).filter("label <> main").select("node", F.col("id").alias("a"), F.col("label").alias("label_a"))
-            two = rows.filter(~large).select("node", F.col("id").alias("b"), F.col("label").alias("label_b"))
-            pairs = one.join(two, "node").filter("label_a <> label_b")
-            small = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            # Some classes outside the main label, the smallest of each part by hash, meet all of a large node.
-            slot = F.pmod(F.xxhash64("id"), F.lit(self.pivots))
-            pivots = rows.filter(large & F.expr("label <> main")).groupBy("node", slot).agg(F.min(F.struct("id", "label")).alias("pivot"))
-            star = rows.filter(large).select("node", "id", "label").join(pivots.select("node", "pivot"), "node")
-            star = star.filter("label <> pivot.label").select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b"))
-            self.link(small.unionByName(star))
-            # A pivot has met all of its node and need not go further down.
-            met = pivots.select("node", F.col("pivot.id").alias("id"))
-            rows = rows.filter(large).select("node", "tree", "path", "id").join(met, ["node", "id"], "left_anti")
-            if level == self.levels or rows.isEmpty():
+            met = rows.join(self.partners(rows, ~F.col("small")), "node")
+            if level == self.levels:
+                pairs = self.near(met.filter("small")).unionByName(self.near_all(rows.filter("not small")))
+            else:
+                pairs = self.near(met)
+            self.link(pairs)
+            # A partner has met all of its node and need not go further down.
+            rows = met.filter("not small").filter(~F.exists("partners", lambda p: p["id"] == F.col("id")))
+            last = level == self.levels or rows.isEmpty()
+            if last or level & (level - 1) == 0:  # labels only save work; they are made anew ever less often
+                self.connect()
+            if last:
                 break
-            open_ = self.labelled(rows).groupBy("node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-            rows = self.branch(rows.join(open_.select("node"), "node", "left_semi").join(self.classes.select("id", "values"), "id"), level)
+            rows = rows.select("node", "tree", "path", "id").join(self.classes.select("id", "values"), "id")
+            rows = self.branch(rows, level)
         return self.labels
 
 

@@ -424,3 +424,51 @@ def test_dedup_deals_no_whole_table_for_a_few_shared_texts(spark):
             assert sorted(r.doc_id for r in rows.collect()) == list(left)
     finally:
         spark.conf.set(name, kept)
+
+
+def test_sketches_pass_pairs_over_the_bound_and_few_far_below(spark):
+    """Near copies at similarity 0.55 were all confirmed on their texts while sketches held 64 values."""
+    draw = np.random.default_rng(7)
+    hashes = lambda n: draw.integers(0, 2**64, n, dtype=np.uint64)
+    rows = []
+    for over in (True, False):
+        for _ in range(100):
+            both = hashes(300)
+            own = 45 if over else 123  # 300 / 390 and 300 / 546
+            a, b = (np.concatenate([both, hashes(own)]) for _ in "ab")
+            rows.append((over, *[neardup.sketch(neardup.minwise(x), x).tolist() for x in (a, b)]))
+    found = spark.createDataFrame(rows, "over boolean, a array<long>, b array<long>")
+    found = found.withColumn("same", neardup.agreeing(found["a"], found["b"]))
+    least = int(256 * 0.8125 - 4 * (256 * 0.8125 * 0.1875) ** 0.5)
+    passed = {r["over"]: r["count"] for r in found.filter(found["same"] >= least).groupBy("over").count().collect()}
+    assert passed[True] == 100 and passed.get(False, 0) <= 20
+    whole = found.withColumn("self", neardup.agreeing(found["a"], found["a"]))
+    assert whole.filter("self <> 256").isEmpty()
+
+
+def test_partners_of_a_node_are_few_and_make_rows_for_likely_pairs_only(spark):
+    """A node of 200 unlike classes made 8 rows for each of its classes before sketches were compared."""
+    draw = np.random.default_rng(8)
+    unlike = [draw.integers(0, 2**64, 80, dtype=np.uint64) for _ in range(200)]
+    alike = np.concatenate([unlike[0][:78], draw.integers(0, 2**64, 2, dtype=np.uint64)])
+    rows = [(1, bytes([k]), bytes([k]), 80, neardup.sketch(neardup.minwise(x), x).tolist()) for k, x in enumerate([*unlike, alike])]
+    nodes = spark.createDataFrame(rows, "node long, id binary, label binary, size long, sketch array<long>").selectExpr("*", "X'FF' main", "false small")
+    join = object.__new__(neardup.Join)
+    join.pivots, join.percent, join.least = 8, 75, 183
+    large = nodes.join(join.partners(nodes, ~nodes["small"]), "node")
+    assert large.count() == 201 and large.selectExpr("size(partners) n").distinct().collect()[0]["n"] <= 8
+    few = nodes.drop("small").selectExpr("*", "true small")
+    pairs = {(bytes(r["a"]), bytes(r["b"])) for r in join.near(few.join(join.partners(few, ~few["small"]), "node")).collect()}
+    assert pairs == {(bytes([0]), bytes([200]))}
+
+
+def test_small_batches_bound_what_a_task_holds_and_are_taken_back(spark):
+    from strataload.sources.scratch import settle, small_batches
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    sizes = lambda batches: (b.assign(n=len(b))[["n"]] for b in batches)
+    with small_batches(spark, 100):
+        seen = settle(spark.range(0, 950, 1, 1).mapInPandas(sizes, "n long"), "sizes")
+    assert spark.conf.get(name) == before
+    assert seen.count() == 950 and seen.agg({"n": "max"}).first()[0] == 100
