@@ -30,14 +30,25 @@ PLACES = "row long, piece int, length long, task long, sequence_id long, offset
 
 
 class TokenizerMemo(Memo):
-    """Piece-wise encoding by a tokenizer file. New pieces are encoded as one text and told apart by their bytes."""
+    """Piece-wise encoding by a tokenizer file. New pieces are encoded as one text and told apart by their bytes.
+
+    Plain pieces, whose matches are known, are written in the tokenizer's own alphabet and parted
+    by spaces, so that the tokenizer need not look for matches in them or map their bytes.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        split = self.tokenizer.pre_tokenizer
+        self.plain = None
+        if isinstance(split, ByteLevel) and split.use_regex and not split.add_prefix_space and self.tokenizer.normalizer is None:
+            self.plain = Tokenizer.from_file(path)
+            self.plain.encode_special_tokens = True
+            self.plain.pre_tokenizer = WhitespaceSplit()
         # The byte-level alphabet has one character for each byte.
         self.sizes = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
         for token, rank in self.tokenizer.get_vocab().items():
@@ -46,25 +57,43 @@ class TokenizerMemo(Memo):
 
     def _encode_many(self, parts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(parts)
-        joined: list[int] = []
+        plain, joined = [], []
         for k, part in enumerate(parts):
-            if part[:1] in (" ", "\n") and not part[1:2].isspace() and not part[-1:].isspace():
-                joined.append(k)
+            written = plain_matches(part) if self.plain else None
+            if written:
+                plain.append((k, written))
+            elif part[:1] in (" ", "\n") and not part[1:2].isspace() and not part[-1:].isspace():
+                joined.append((k, part))
             else:
-                out[k] = np.array(self._ids(part), "<u4").tobytes()
-        for at in range(0, len(joined), 4096):
-            some = joined[at : at + 4096]
-            ids = np.array(self._ids("".join([parts[k] for k in some])), "<u4")
-            ends = np.cumsum([len(parts[k].encode()) for k in some])
-            cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
-            data, before = ids.tobytes(), 0
-            for k, cut in zip(some, (cuts * 4).tolist()):
-                out[k], before = data[before:cut], cut
+                out[k] = np.array(self._ids(self.tokenizer, part), "<u4").tobytes()
+        for tokenizer, written, gap in ((self.plain, plain, " "), (self.tokenizer, joined, "")):
+            for at in range(0, len(written), 512):
+                some = written[at : at + 512]
+                ids = np.array(self._ids(tokenizer, gap.join([x for _, x in some])), "<u4")
+                ends = np.cumsum([len(parts[k].encode()) for k, _ in some])
+                cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+                data, before = ids.tobytes(), 0
+                for (k, _), cut in zip(some, (cuts * 4).tolist()):
+                    out[k], before = data[before:cut], cut
         return out
 
-    def _ids(self, text: str) -> list[int]:
+    @staticmethod
+    def _ids(tokenizer, text: str) -> list[int]:
         # The fast call leaves out the offsets, which nothing here reads.
-        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids if text else []
+        return tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids if text else []
+
+
+#: A space belongs to the word's match, a line break is a match of its own.
+_BEGUN = {" ": "\u0120", "\n": "\u010a "}
+
+
+def plain_matches(part: str) -> str | None:
+    """The matches of a space or line break, ASCII letters and perhaps a stop, in the byte-level alphabet; None for other parts."""
+    word, stop = (part[1:-1], " " + part[-1]) if part[-1:] in (".", ",") else (part[1:], "")
+    if not word.isascii() or not word.isalpha():
+        return None
+    begun = _BEGUN.get(part[0])
+    return begun and begun + word + stop
 
 
 _memos: dict[str, TokenizerMemo] = {}

@@ -462,13 +462,13 @@ def test_partners_of_a_node_are_few_and_make_rows_for_likely_pairs_only(spark):
     assert pairs == {(bytes([0]), bytes([200]))}
 
 
-def test_small_batches_bound_what_a_task_holds_and_are_taken_back(spark):
-    from strataload.sources.scratch import settle, small_batches
-
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    sizes = lambda batches: (b.assign(n=len(b))[["n"]] for b in batches)
-    with small_batches(spark, 100):
-        seen = settle(spark.range(0, 950, 1, 1).mapInPandas(sizes, "n long"), "sizes")
-    assert spark.conf.get(name) == before
-    assert seen.count() == 950 and seen.agg({"n": "max"}).first()[0] == 100
+def test_plain_pieces_encode_as_the_tokenizer_does():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    memo = packing.TokenizerMemo(path)
+    parts = [" word", " word.", " word,", "\nWord", "\nword.", " .", "\n.", " a..", " it's", " don't.", " é", " naïve,", " a1", " <|endoftext|>", " x"]
+    for part, ids in zip(parts, memo.encode_many(parts)):
+        assert np.frombuffer(ids, "<u4").tolist() == memo._ids(memo.tokenizer, part), part
+    told = [packing.plain_matches(p) for p in parts]
+    assert told[:5] == ["Ġword", "Ġword .", "Ġword ,", "Ċ Word", "Ċ word ."] and not any(told[5:-1])
